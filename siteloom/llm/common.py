@@ -33,6 +33,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Hand texts to Python in batches of so many rows, as a few very long ones may stand together."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected edges: (id, component), component the smallest id reachable.
 

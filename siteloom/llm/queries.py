@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, sharding
+from . import chat, minhash, sharding, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -16,7 +16,7 @@ HARD_TURN = "\\### Assistant: </turn> ok"
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formats every conversation, then reads turns and masked text back from the formatted string."""
-    hard = spark.createDataFrame([(-7, 0, "user", HARD_TURN), (-7, 1, "assistant", HARD_TURN)], "conv_id long, turn long, role string, text string")
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD_TURN).alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
     made = chat.format_chat(turns.withColumn("parts", chat.text_part(F.col("text"))))
     back = made.select("conv_id", "formatted", "n_tokens", chat.parse_turns(F.col("formatted")).alias("turns"), chat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
@@ -59,3 +59,36 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_sharding"] = op2_sharding
+
+
+#: Least score that counts as toxic.
+TOXIC = 0.7
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labelled ones that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = toxicity.score(docs, toxic_model(docs, table(spark, sf_dir, "labels")))
+    held = F.coalesce(third(F.col("doc_id")) == 1, F.lit(False))
+    return made.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), F.size("passages").cast("long").alias("n_passages"))
+
+
+def third(doc_id):
+    """crc32 of the id as text, modulo 3."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 3
+
+
+def toxic_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """The model of the labelled documents whose third isn't 1."""
+    return toxicity.fit(docs.where(third(F.col("doc_id")) != 1), labels, (third(F.col("doc_id")) / 2).cast("int"))
+
+
+QUERIES["op3_toxicity"] = op3_toxicity
+
+
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of all documents: word pairs, similarity of 0.8 or more."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op4_minhash"] = op4_minhash
