@@ -38,6 +38,23 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+#: Bits of the map by which rows are thinned out before a join.
+MAP_BITS = 1 << 22
+
+
+def thinned(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """rows without most of those whose key no row of wanted has; the exact join is still to follow.
+
+    A map of MAP_BITS bits over key hashes is broadcast, MAP_BITS / 64 rows at most whatever the input, so rows
+    that the join doesn't need aren't shuffled for it.
+    """
+    spot = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
+    bits = wanted.select(spot(wanted_key).alias("spot")).select(F.expr("spot div 64").alias("_word"), F.expr("shiftleft(1L, cast(spot % 64 as int))").alias("bit"))
+    bits = bits.groupBy("_word").agg(F.bit_or("bit").alias("_bits"))
+    marked = rows.withColumn("_spot", spot(key)).withColumn("_word", F.expr("_spot div 64"))
+    return marked.join(F.broadcast(bits), "_word").where(F.expr("shiftrightunsigned(_bits, cast(_spot % 64 as int)) & 1L") == 1).drop("_word", "_spot", "_bits")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected edges: (id, component), component the smallest id reachable.
 

@@ -1,15 +1,15 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
-The SKETCH smallest hash values of a document's word-pair set are retained. The inverted lists of the INDEXED
-smallest ones give candidate pairs, the union sketch of a pair estimates its similarity and filters, and the
-exact Jaccard similarity of the full sets, taken from the texts, decides.
-
-Two sets with similarity of 0.8 or more share at least SHARED of their INDEXED values but for a chance below
-1e-7, or 0.8 of them if the sets are smaller than that. A document is therefore listed only under its rarest
-values, so many that two documents which share that much meet in a list (prefix filtering). A list is not
-expanded into pairs: its members are compared with one member, the hub, and linked documents become one
-component; in further rounds only members of other components than the hub's are compared, and at the end the
-members of different components of the lists that are left, block against block.
+The SKETCH smallest hash values of a document's word-pair set are retained. Their inverted lists give candidate
+pairs, the union sketch of a pair estimates its similarity and filters, and the exact Jaccard similarity of the
+full sets, taken from the texts, decides.
+
+Two sets with similarity of 0.8 or more share at least SHARED of their SKETCH values but for a chance of about
+2e-6 at 0.8, and far less above it, or 0.8 of them if the sets are smaller than that. A document is therefore listed only under its rarest
+values, so many that two documents which share that much meet in a list (prefix filtering). A long list is
+not expanded into pairs: its members are compared with one member, the hub, and linked documents become one
+component; in further rounds only members of other components than the hub's are compared. At the end the
+members of different components of every list are compared, block against block.
 """
 
 from __future__ import annotations
@@ -22,13 +22,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, small_batches
+from .common import components, cut, small_batches, thinned
 
-SKETCH, INDEXED, SHARED = 64, 32, 12
+SKETCH, SHARED = 32, 14
 #: Share of the union sketch that must be common for a pair to be verified; 0.8 is the limit for links.
-ESTIMATE = 0.5
-#: Rounds of comparing with one hub a list, and the members of a block in the last comparison.
-ROUNDS, BLOCK = 3, 256
+ESTIMATE = SHARED / SKETCH
+#: In each round of comparing with a hub, the lists that are longer than this; the members of a block at the end.
+ROUNDS, BLOCK = (8, 64, 64), 256
 #: Words whose hash a worker remembers.
 REMEMBERED = 300_000
 
@@ -68,8 +68,9 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], batch["text_hash"], pa.array([len(s) for s in sets], pa.int64()),
              pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*kept, np.empty(0, np.int64)])))],
-            names=["doc_id", "text_hash", "n", "digest", "sketch"],
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*kept, np.empty(0, np.int64)]))),
+             pa.array([(s[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary())],
+            names=["doc_id", "text_hash", "n", "digest", "vs", "sketch"],
         )
 
 
@@ -94,56 +95,63 @@ def _verified(percent: int):
     return run
 
 
-def _alike(a: np.ndarray, b: np.ndarray) -> int:
-    """Common values in the union sketch of two sketches, and its size, as a share."""
-    union = np.union1d(a, b)
-    size = min(SKETCH, len(union)) if max(len(a), len(b)) >= SKETCH else len(union)
-    return np.intersect1d(a, b, assume_unique=True).searchsorted(union[size - 1], "right") / size
+def _values(sketch: bytes) -> list[int]:
+    return np.frombuffer(sketch, np.uint32).tolist()
+
+
+def _alike(a: list[int], b: list[int]) -> bool:
+    """Whether the union sketch of two sketches has enough in common. They hold 32 bits of each value."""
+    common = set(a) & set(b)
+    union = sorted({*a, *b})
+    if max(len(a), len(b)) >= SKETCH:
+        union = union[:SKETCH]
+    return sum(v in common for v in union) >= ESTIMATE * len(union)
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got = lambda c: (batch[c].values.to_numpy().view(np.uint64), batch[c].offsets.to_numpy())
-        (x, i), (y, j) = got("x"), got("y")
-        keep = [k for k in range(batch.num_rows) if _alike(x[i[k] : i[k + 1]], y[j[k] : j[k + 1]]) >= ESTIMATE]
+        keep = [k for k, (x, y) in enumerate(zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)) if _alike(_values(x), _values(y))]
         yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within each (list, block, block), its rows standing together."""
-    key, rows = None, []
-
-    def pairs():
-        by = {}
-        for s, (_, _, sketch, _) in enumerate(rows):
-            for v in sketch[:INDEXED]:
+def _crossing_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Alike pairs of different components among (cid, label, sketch, side); of different sides if there are two."""
+    sketches = [_values(r[2]) for r in rows]
+    sides = len({r[3] for r in rows})
+    if len(rows) <= 8:
+        pairs = [(p, q) for q in range(len(rows)) for p in range(q)]
+    else:
+        by: dict[int, list[int]] = {}
+        for s, values in enumerate(sketches):
+            for v in values:
                 by.setdefault(v, []).append(s)
         member = np.zeros((len(rows), len(by)), np.float32)
         for c, at in enumerate(by.values()):
             member[at, c] = 1
-        common = member @ member.T
-        size = np.array([min(len(r[2]), INDEXED) for r in rows])
+        size = np.array([len(x) for x in sketches])
         need = np.minimum(SHARED, np.ceil(0.8 * np.minimum.outer(size, size)))
-        label, side = np.array([r[1] for r in rows]), np.array([r[3] for r in rows])
-        cross = (label[:, None] != label[None, :]) & (common >= need)
-        cross &= np.triu(np.ones_like(cross), 1) if side.min() == side.max() else (side[:, None] < side[None, :])
-        for p, q in zip(*np.nonzero(cross), strict=True):
-            if _alike(np.array(rows[p][2]).view(np.uint64), np.array(rows[q][2]).view(np.uint64)) >= ESTIMATE:
-                yield min(rows[p][0], rows[q][0]), max(rows[p][0], rows[q][0])
+        pairs = np.argwhere(np.triu(member @ member.T >= need, 1)).tolist()
+    for p, q in pairs:
+        if rows[p][1] != rows[q][1] and (sides == 1 or rows[p][3] != rows[q][3]) and _alike(sketches[p], sketches[q]):
+            yield min(rows[p][0], rows[q][0]), max(rows[p][0], rows[q][0])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components within each (list, block, block), whose rows stand together."""
+    key, rows = None, []
 
     def batch_of(found):
         return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     for batch in batches:
         found = []
-        for v, i, j, cid, label, sketch, side in zip(*(batch[c].to_pylist() for c in ("v", "i", "j", "cid", "label", "sketch", "side")), strict=True):
+        for v, i, j, *row in zip(*(batch[c].to_pylist() for c in ("v", "i", "j", "cid", "label", "sketch", "side")), strict=True):
             if (v, i, j) != key:
-                found += pairs() if rows else []
+                found += _crossing_pairs(rows)
                 key, rows = (v, i, j), []
-            rows.append((cid, label, sketch, side))
+            rows.append(tuple(row))
         yield batch_of(found)
-    if rows:
-        yield batch_of([*pairs()])
+    yield batch_of([*_crossing_pairs(rows)])
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -160,54 +168,55 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    made = cut(rows.mapInArrow(_sketches, "doc_id long, text_hash long, n long, digest binary, sketch array<long>"))
+    made = cut(rows.mapInArrow(_sketches, "doc_id long, text_hash long, n long, digest binary, vs array<long>, sketch binary"))
     classes = cut(
-        made.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "text_hash")).alias("source"), F.first("sketch").alias("sketch"))
+        made.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "text_hash")).alias("source"), F.first("vs").alias("vs"), F.first("sketch").alias("sketch"))
     ).withColumn("cid", F.monotonically_increasing_id())
 
     # Lists: only values that two classes retain, of each class its rarest.
-    values = classes.select("cid", F.least(F.size("sketch"), F.lit(INDEXED)).alias("m"), F.explode(F.slice("sketch", 1, INDEXED)).alias("v"))
+    values = classes.select("cid", F.size("vs").alias("m"), F.explode("vs").alias("v"))
     shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    need = F.when(F.col("m") < 0.8 * INDEXED, F.ceil(0.8 * F.col("m"))).otherwise(SHARED)
+    need = F.when(F.col("m") < 0.8 * SKETCH, F.ceil(0.8 * F.col("m"))).otherwise(SHARED)
     rarest = values.join(shared, "v").groupBy("cid", "m").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
     listed = cut(rarest.withColumn("n", (F.size("vs") - need + 1).cast("int")).where("n > 0").select("cid", F.explode(F.slice("vs", F.lit(1), F.col("n"))["v"]).alias("v")))
-    heads = listed.groupBy("v").agg(F.min("cid").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    heads = listed.groupBy("v").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     listed = cut(listed.join(heads, "v"))
-    used = classes.join(listed.select("cid").distinct(), "cid", "left_semi").select("cid", "sketch", F.col("source.doc_id").alias("doc_id"), F.col("source.text_hash").alias("text_hash"))
-    same = used["doc_id"].eqNullSafe(rows["doc_id"]) & (used["text_hash"] == rows["text_hash"])
-    texts = cut(rows.join(used.drop("sketch"), same).select("cid", "text").dropDuplicates(["cid"]))
-    sketches = used.select("cid", "sketch")
+    sketches = classes.select("cid", "sketch")
 
     def with_both(pairs: DataFrame, of: DataFrame, col: str) -> DataFrame:
         a, b = of.select(F.col("cid").alias("a"), F.col(col).alias("x")), of.select(F.col("cid").alias("b"), F.col(col).alias("y"))
         return pairs.join(b, "b").join(a, "a")
 
-    def links(pairs: DataFrame, estimate: bool = True) -> DataFrame:
-        if estimate:
-            pairs = with_both(pairs, sketches, "sketch").mapInArrow(_estimated, "a long, b long")
+    def estimated(pairs: DataFrame) -> DataFrame:
+        return cut(with_both(pairs, sketches, "sketch").mapInArrow(_estimated, "a long, b long"))
+
+    def links(pairs: DataFrame) -> DataFrame:
+        """Those of the estimated pairs that are links, by the texts of their documents."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+        used = cut(classes.join(ends, "cid").select("cid", "source.doc_id", "source.text_hash"))
+        near = thinned(rows, F.struct("doc_id", "text_hash"), used, F.struct("doc_id", "text_hash"))
+        same = used["doc_id"].eqNullSafe(near["doc_id"]) & (used["text_hash"] == near["text_hash"])
+        texts = near.join(used, same).select("cid", "text").dropDuplicates(["cid"])
         full = with_both(pairs, texts, "text").select("a", "b", "x", "y").sortWithinPartitions("a")
         return cut(full.mapInArrow(_verified(percent), "a long, b long"))
 
-    found = links(listed.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct())
-    label = cut(components(found))
-    open_ = listed.where("size > 2").drop("hub")
-    for turn in range(ROUNDS + 1):
-        marked = open_.join(label.withColumnRenamed("id", "cid"), "cid", "left").select("v", "cid", F.coalesce("component", "cid").alias("label"))
+    label = spark.createDataFrame([], "id long, component long")
+    found, open_ = None, listed
+    for turn in range(len(ROUNDS) + 1):
+        marked = open_.select("v", "cid").join(label.withColumnRenamed("id", "cid"), "cid", "left").select("v", "cid", F.coalesce("component", "cid").alias("label"))
         mixed = marked.groupBy("v").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct(F.xxhash64("cid", F.lit(turn)), "cid", "label")).alias("hub")).where("low < high")
         open_ = cut(marked.join(mixed.select("v", "size", "hub"), "v"))
-        if open_.isEmpty():
-            break
-        if turn < ROUNDS:
+        if turn < len(ROUNDS):
             hub = F.col("hub.cid")
-            more = links(open_.where("label <> hub.label").select(F.least(hub, "cid").alias("a"), F.greatest(hub, "cid").alias("b")).distinct())
+            long = open_.where((F.col("size") > ROUNDS[turn]) & (F.col("label") != F.col("hub.label")))
+            pairs = estimated(long.select(F.least(hub, "cid").alias("a"), F.greatest(hub, "cid").alias("b")).distinct())
         else:
-            more = links(_crossing(open_, sketches), estimate=False)
-        if more.isEmpty():
-            open_ = open_.drop("label", "size", "hub")
+            pairs = cut(_crossing(open_, sketches))
+        if pairs.isEmpty():
             continue
-        found = found.unionByName(more)
+        more = links(pairs)
+        found = more if found is None else found.unionByName(more)
         label = cut(components(found))
-        open_ = open_.drop("label", "size", "hub")
 
     whole = classes.join(label.withColumnRenamed("id", "cid"), "cid", "left").select("digest", "first", F.coalesce("component", "cid").alias("label"))
     least = whole.groupBy("label").agg(F.min("first").alias("component_id"))

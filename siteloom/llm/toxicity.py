@@ -25,9 +25,11 @@ WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of the beginnings of words that are features beside whole words.
 STEMS = (6, 5, 4, 3)
 #: Least |z| of a feature, and documents of one class that it must stand in.
-LEAST_Z, LEAST_DOCS = 3.0, 3
+LEAST_Z, LEAST_DOCS = 3.0, 2
+#: Least log-odds of a feature: a passage consists of clear words, and others keep it short.
+LEAST_ODDS = 2.0
 #: Prior strength as a share of all counts; cost of a word without a feature.
-PRIOR, NEUTRAL = 0.1, 0.25
+PRIOR, NEUTRAL = 0.1, 1.0
 #: Labelled rows used at most, the share taken by a hash of the id, and features kept at most.
 TRAIN_ROWS, FEATURES = 100_000, 50_000
 #: A passage is significant if as good a one turns up in fewer than this many of as long clean documents.
@@ -40,7 +42,7 @@ class Model:
     weights: dict[str, float]
     rate: float = 1.0  # of the extreme-value law
     log_k: float = 0.0
-    curve: tuple[float, ...] = (-30.0, 0.0, 0.0, 0.0)
+    curve: tuple[float, ...] = (-30.0, 0.0, 0.0, 0.0, 0.0)
 
 
 def stems(word: str) -> list[str]:
@@ -115,23 +117,31 @@ def _best(models: dict[int, dict[str, float]]):
     return run
 
 
-def _features(model: Model, found: list[float], size: int) -> tuple[float, float, float]:
-    """What the curve reads: the sum and the best of the normalised scores, and the length."""
-    plus = [x for s in found if (x := model.rate * s - model.log_k - np.log(max(size, 1))) > 0]
-    return float(np.log1p(sum(plus))), float(np.log1p(max(plus, default=0.0))), float(np.log1p(sum(plus) / max(size, 1) * 100))
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
-    """Coefficients, the constant first, by Newton's method."""
-    x = np.column_stack([np.ones(len(x)), x])
-    b, penalty = np.zeros(x.shape[1]), np.diag([1e-6, *[ridge] * (x.shape[1] - 1)])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(len(b)), x.T @ (y - p) - penalty @ b)
-        b += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+def _features(model: Model, found: list[float], size: int) -> tuple[float, float, float, float]:
+    """What the curve reads: scores in the law's units, their sum, the best beyond what the length explains, the sum a word, and the length."""
+    total, length = model.rate * sum(found), float(np.log1p(size))
+    best = max(model.rate * max(found) - model.log_k - length, -20.0) if found else -20.0
+    return float(np.log1p(total)), best, float(np.log(1e-3 + total / max(size, 1))), length
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
+    """Coefficients, the constant first, by Newton's method with halved steps, over standardised columns."""
+    mean, sd = x.mean(0), x.std(0) + 1e-9
+    z = np.column_stack([np.ones(len(x)), (x - mean) / sd])
+    penalty = np.array([1e-6, *[ridge] * x.shape[1]])
+    loss = lambda b: float(np.logaddexp(0, z @ b).sum() - y @ (z @ b) + (penalty * b * b).sum() / 2)
+    b = np.zeros(z.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(z @ b, -35, 35)))
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty + 1e-9), z.T @ (y - p) - penalty * b)
+        scale = 1.0
+        while scale > 1e-6 and loss(b + scale * step) > loss(b):
+            scale /= 2
+        b += scale * step
+        if np.abs(scale * step).max() < 1e-7:
             break
-    return tuple(b.tolist())
+    own = b[1:] / sd
+    return (float(b[0] - own @ mean), *own.tolist())
 
 
 def fit(docs: DataFrame, labels: DataFrame, fold: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
@@ -163,7 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, doc_id: str = "doc_id"
         there = F.greatest(f"d0{f}", f"d1{f}") >= LEAST_DOCS
         scored = scored.withColumns({f"w{f}": F.when(there, F.log(odds(1)) - F.log(odds(0)))}).withColumn(f"z{f}", F.when(there, F.abs(f"w{f}") / F.sqrt(1 / (F.col(f"n1{f}") + a) + 1 / (F.col(f"n0{f}") + a))))
     z = F.greatest(*(F.coalesce(f"z{f}", F.lit(0.0)) for f in (0, 1, 2)))
-    got = scored.where(z >= LEAST_Z).select("feature", *(F.when(F.col(f"z{f}") >= LEAST_Z, F.col(f"w{f}")).alias(f"w{f}") for f in (0, 1, 2))).orderBy(z.desc(), "feature").limit(FEATURES).collect()
+    clear = lambda f: (F.col(f"z{f}") >= LEAST_Z) & (F.col(f"w{f}") >= LEAST_ODDS)
+    got = scored.where(z >= LEAST_Z).select("feature", *(F.when(clear(f), F.col(f"w{f}")).alias(f"w{f}") for f in (0, 1, 2))).orderBy(z.desc(), "feature").limit(FEATURES).collect()
     by = [{r["feature"]: r[f"w{f}"] for r in got if r[f"w{f}"] is not None} for f in (0, 1, 2)]
     trained = rows.mapInArrow(_best({0: by[1], 1: by[0]}), "toxic int, size long, found array<double>").collect()
     model = Model(by[2])
