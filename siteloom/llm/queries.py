@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, minhash, sharding, toxicity
+from . import chat, embeddings, minhash, quality, sharding, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -92,3 +92,20 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_minhash"] = op4_minhash
+
+
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of all vectors: cosine of 0.95 or more."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op9_embeddings"] = op9_embeddings
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain figures and the verdict of n-gram likelihoods for every document; trusted are those labelled good."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.weights(docs, table(spark, sf_dir, "labels").where("quality = 1 and coalesce(toxic, 0) = 0")))
+
+
+QUERIES["op5_quality"] = op5_quality
