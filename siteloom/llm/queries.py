@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, minhash, quality, sharding, toxicity
+from . import chat, embeddings, minhash, pii, quality, sharding, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -109,3 +109,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_quality"] = op5_quality
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    made = pii.find(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
+QUERIES["op8_pii"] = op8_pii
