@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, minhash, pii, quality, sharding, toxicity
-from .common import table
+from . import chat, embeddings, minhash, mixing, pii, quality, segmenting, sharding, toxicity
+from .common import table, words
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -118,3 +118,31 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_pii"] = op8_pii
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """Documents with the probability at which source, language and topic come near each other, and the draw."""
+    dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic(F.col("text"))}
+    return mixing.mix(docs, dims, F.col("doc_id"), F.size(words(F.col("text"))))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked token weights, probability and draw of every document."""
+    made = mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return made.select("doc_id", "tokens", "dim_source", "dim_lang", "dim_topic", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "sampled")
+
+
+QUERIES["op7_mixing"] = op7_mixing
+
+
+def digest_of(made: DataFrame) -> DataFrame:
+    """Segmentations with a digest in the place of their packed ids."""
+    return made.select("doc_id", "rank", "n_pieces", F.round("log_prob", 6).alias("log_prob"), F.round("perturbed", 6).alias("perturbed"), F.round("inclusion", 9).alias("inclusion"), "round_trip", F.sha2("ids", 256).alias("ids_sha256"))
+
+
+def op10_segmenting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every document."""
+    return digest_of(segmenting.encode(table(spark, sf_dir, "documents"), packed=True))
+
+
+QUERIES["op10_segmenting"] = op10_segmenting
