@@ -143,14 +143,14 @@ def _em(counts: dict[tuple, int]) -> dict[tuple, float]:
     return post
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each row of docs: doc_id, text, n_<kind> of base spans, base, spans.
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each row of docs: doc_id, text, *keep, n_<kind> of base spans, base, spans.
 
     base and spans are array<struct<start, order, end, kind, added>>, by start, then kind as listed. Null texts are
     empty and have no spans; an empty table gives no rows; other columns are ignored.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), whole.alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), whole.alias("text"), *(F.col(c).alias(f"_keep_{c}") for c in keep))
     rows = rows.select("*", *(c.alias(k) for k, c in base(F.col("text")).items()))
     model = fit(rows)
     rows = rows.withColumn("added", accepted(_candidates(F.col("text")), model))
@@ -159,7 +159,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     number = lambda kind: F.element_at(F.create_map(*(F.lit(x) for kv in order.items() for x in kv)), kind)
     more = F.transform(F.col("added"), lambda s: F.struct(s["start"].alias("start"), number(s["kind"]).alias("order"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit(True).alias("added")))
     strict = F.concat(*(flat(k) for k in KINDS))
-    return rows.select("doc_id", "text", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.array_sort(strict).alias("base"), F.array_sort(F.concat(strict, more)).alias("spans"))
+    return rows.select("doc_id", "text", *(F.col(f"_keep_{c}").alias(c) for c in keep), *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.array_sort(strict).alias("base"), F.array_sort(F.concat(strict, more)).alias("spans"))
 
 
 def _features(c: Column) -> list[Column]:

@@ -197,7 +197,7 @@ def _scored(model: Model):
         scores = _Scores(model.weights)
         for batch in batches:
             out, passages = [], []
-            for text in batch["text"].to_pylist():
+            for text in batch["_whole_text"].to_pylist():
                 low = (text or "").lower()
                 words = WORD.findall(low)
                 size = len(words)
@@ -208,7 +208,7 @@ def _scored(model: Model):
                 at = [m.span() for m in WORD.finditer(low)] if far else []
                 passages.append([{"start": at[s][0], "end": at[e - 1][1], "score": x, "e_value": float(np.exp(model.log_k + np.log(size) - model.rate * x))} for s, e, x in far])
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("e_value", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch[c] for c in batch.schema.names if c != "text"] + [pa.array(out, pa.float64()), pa.array(passages, kind)], names=[c for c in batch.schema.names if c != "text"] + ["score", "passages"])
+            yield pa.RecordBatch.from_arrays([batch[c] for c in batch.schema.names if c != "_whole_text"] + [pa.array(out, pa.float64()), pa.array(passages, kind)], names=[c for c in batch.schema.names if c != "_whole_text"] + ["score", "passages"])
     return run
 
 
@@ -219,6 +219,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     other, so repeated rows get equal scores; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(*keep, F.col(text).alias("text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    rows = docs.select(*keep, F.col(text).alias("_whole_text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_whole_text")
     return rows.mapInArrow(_scored(model), f"{kinds}, score double, passages array<struct<start:bigint,end:bigint,score:double,e_value:double>>")
