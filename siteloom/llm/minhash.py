@@ -27,8 +27,11 @@ from .common import components, cut, small_batches, thinned
 SKETCH, SHARED = 32, 14
 #: Share of the union sketch that must be common for a pair to be verified; 0.8 is the limit for links.
 ESTIMATE = SHARED / SKETCH
-#: In each round of comparing with a hub, the lists that are longer than this; the members of a block at the end.
-ROUNDS, BLOCK = (8, 64, 64), 256
+#: In each round of comparing with a hub, the lists that are longer than this.
+ROUNDS = (3, 3, 8)
+#: At the end, the members of a block, and the lists that are compared by sketches of WIDE values as they are longer
+#: than LONG. Those hold most sets whole, so hardly a pair that is no link is verified.
+BLOCK, LONG, WIDE, WIDE_ESTIMATE = 256, 32, 256, 0.7
 #: Words whose hash a worker remembers.
 REMEMBERED = 300_000
 
@@ -74,6 +77,13 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = _Hashes()
+    for batch in batches:
+        made = [(shingle_hashes(split_words(t), hashes)[:WIDE] >> np.uint64(32)).astype(np.uint32).tobytes() for t in batch["text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["cid"], pa.array(made, pa.binary())], names=["cid", "sketch"])
+
+
 def _pair_set(text: str) -> set:
     words = split_words(text)
     return set(zip(words, words[1:])) if len(words) > 1 else {tuple(words)}
@@ -108,6 +118,22 @@ def _alike(a: list[int], b: list[int]) -> bool:
     return sum(v in common for v in union) >= ESTIMATE * len(union)
 
 
+def _wide_alike(sketches: list[np.ndarray]) -> np.ndarray:
+    """Which pairs of wide sketches have enough in common: exactly for whole sets, by the union sketch for others."""
+    values, at = np.unique(np.concatenate(sketches), return_inverse=True)
+    member = np.zeros((len(sketches), len(values)), np.float32)
+    member[np.repeat(np.arange(len(sketches)), [len(x) for x in sketches]), at] = 1
+    size = np.array([len(x) for x in sketches])
+    common = member @ member.T
+    union = size[:, None] + size[None, :] - common
+    ok = common >= 0.8 * union - 1e-3
+    cut_off = (size[:, None] >= WIDE) | (size[None, :] >= WIDE)
+    for p, q in np.argwhere(np.triu(cut_off & (common >= 0.5 * WIDE), 1)):
+        low = np.union1d(sketches[p], sketches[q])[:WIDE]
+        ok[p, q] = ok[q, p] = member[p, k := np.searchsorted(values, low)] @ member[q, k] >= WIDE_ESTIMATE * len(low)
+    return ok
+
+
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = [k for k, (x, y) in enumerate(zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)) if _alike(_values(x), _values(y))]
@@ -115,24 +141,25 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _crossing_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-    """Alike pairs of different components among (cid, label, sketch, side); of different sides if there are two."""
-    sketches = [_values(r[2]) for r in rows]
-    sides = len({r[3] for r in rows})
-    if len(rows) <= 8:
-        pairs = [(p, q) for q in range(len(rows)) for p in range(q)]
+    """Alike pairs of different components among (cid, label, sketch, side, lists); of different sides if there are two.
+
+    Of the lists that hold both, only the one of the smallest value gives a pair. Without lists the sketches are wide.
+    """
+    if len({r[1] for r in rows}) < 2:
+        return
+    sides, lists = len({r[3] for r in rows}), [r[4] and frozenset(_values(r[4])) for r in rows]
+    if lists[0] is None:
+        alike = _wide_alike([np.frombuffer(r[2], np.uint32) for r in rows])
+        label, side = np.array([r[1] for r in rows]), np.array([r[3] for r in rows])
+        cross = np.triu(alike & (label[:, None] != label[None, :]), 1)
+        if sides > 1:
+            cross &= side[:, None] != side[None, :]
+        pairs, own = np.argwhere(cross).tolist(), None
     else:
-        by: dict[int, list[int]] = {}
-        for s, values in enumerate(sketches):
-            for v in values:
-                by.setdefault(v, []).append(s)
-        member = np.zeros((len(rows), len(by)), np.float32)
-        for c, at in enumerate(by.values()):
-            member[at, c] = 1
-        size = np.array([len(x) for x in sketches])
-        need = np.minimum(SHARED, np.ceil(0.8 * np.minimum.outer(size, size)))
-        pairs = np.argwhere(np.triu(member @ member.T >= need, 1)).tolist()
+        sketches, own = [_values(r[2]) for r in rows], min(frozenset.intersection(*lists))
+        pairs = [(p, q) for q in range(len(rows)) for p in range(q) if rows[p][1] != rows[q][1] and (sides == 1 or rows[p][3] != rows[q][3])]
     for p, q in pairs:
-        if rows[p][1] != rows[q][1] and (sides == 1 or rows[p][3] != rows[q][3]) and _alike(sketches[p], sketches[q]):
+        if own is None or (min(lists[p] & lists[q]) == own and _alike(sketches[p], sketches[q])):
             yield min(rows[p][0], rows[q][0]), max(rows[p][0], rows[q][0])
 
 
@@ -145,7 +172,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         found = []
-        for v, i, j, *row in zip(*(batch[c].to_pylist() for c in ("v", "i", "j", "cid", "label", "sketch", "side")), strict=True):
+        for v, i, j, *row in zip(*(batch[c].to_pylist() for c in ("v", "i", "j", "cid", "label", "sketch", "side", "lists")), strict=True):
             if (v, i, j) != key:
                 found += _crossing_pairs(rows)
                 key, rows = (v, i, j), []
@@ -190,13 +217,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def estimated(pairs: DataFrame) -> DataFrame:
         return cut(with_both(pairs, sketches, "sketch").mapInArrow(_estimated, "a long, b long"))
 
-    def links(pairs: DataFrame) -> DataFrame:
-        """Those of the estimated pairs that are links, by the texts of their documents."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    def texts_of(ends: DataFrame) -> DataFrame:
+        """(cid, text) of some classes."""
         used = cut(classes.join(ends, "cid").select("cid", "source.doc_id", "source.text_hash"))
         near = thinned(rows, F.struct("doc_id", "text_hash"), used, F.struct("doc_id", "text_hash"))
         same = used["doc_id"].eqNullSafe(near["doc_id"]) & (used["text_hash"] == near["text_hash"])
-        texts = near.join(used, same).select("cid", "text").dropDuplicates(["cid"])
+        return near.join(used, same).select("cid", "text").dropDuplicates(["cid"])
+
+    def links(pairs: DataFrame) -> DataFrame:
+        """Those of the estimated pairs that are links, by the texts of their documents."""
+        texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
         full = with_both(pairs, texts, "text").select("a", "b", "x", "y").sortWithinPartitions("a")
         return cut(full.mapInArrow(_verified(percent), "a long, b long"))
 
@@ -211,7 +241,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             long = open_.where((F.col("size") > ROUNDS[turn]) & (F.col("label") != F.col("hub.label")))
             pairs = estimated(long.select(F.least(hub, "cid").alias("a"), F.greatest(hub, "cid").alias("b")).distinct())
         else:
-            pairs = cut(_crossing(open_, sketches))
+            short, long = open_.where(F.col("size") <= LONG), open_.where(F.col("size") > LONG)
+            mine = short.groupBy("cid").agg(F.collect_list(F.shiftright("v", 32).cast("int")).alias("vs"))
+            mine = mine.select("cid", F.unhex(F.array_join(F.transform("vs", lambda v: F.lpad(F.hex(v.bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))), 8, "0")), "")).alias("lists"))
+            pairs = _crossing(short, sketches.join(mine, "cid"))
+            if not long.isEmpty():
+                wide = cut(texts_of(long.select("cid").distinct()).mapInArrow(_wide, "cid long, sketch binary"))
+                pairs = pairs.unionAll(_crossing(long, wide.withColumn("lists", F.lit(None).cast("binary"))))
+            pairs = cut(pairs.distinct())
         if pairs.isEmpty():
             continue
         more = links(pairs)
@@ -229,10 +266,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _crossing(open_: DataFrame, sketches: DataFrame) -> DataFrame:
-    """All pairs of different components within a list whose sketches are alike, block against block."""
+    """Pairs of different components within a list whose sketches are alike, block against block."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = open_.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("cid"), blocks).cast("int")}).join(sketches, "cid")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cid", "label", "sketch", F.col("own").alias("side"))
+    rows = rows.select("v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cid", "label", "sketch", F.col("own").alias("side"), "lists")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "v", "i", "j").sortWithinPartitions("v", "i", "j").mapInArrow(_blocks, "a long, b long").distinct()
+    return rows.repartition(n, "v", "i", "j").sortWithinPartitions("v", "i", "j").mapInArrow(_blocks, "a long, b long")
