@@ -31,10 +31,12 @@ LEAST_ODDS = 2.0
 #: Prior strength as a share of all counts; cost of a word without a feature.
 PRIOR, NEUTRAL = 0.1, 1.0
 #: Labelled rows used at most, the share taken by a hash of the id, and features kept at most.
-TRAIN_ROWS, FEATURES = 100_000, 50_000
+TRAIN_ROWS, FEATURES = 20_000, 50_000
 #: A passage is significant if as good a one turns up in fewer than this many of as long clean documents.
 E_VALUE = 0.05
 REMEMBERED = 300_000
+#: Counts that a worker gathers before it hands them on.
+GATHERED = 400_000
 
 
 @dataclass
@@ -87,8 +89,18 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen, docs = Counter(), Counter()
+
+    def gathered() -> pa.RecordBatch:
+        keys = list(seen)
+        out = pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.int32()),
+             pa.array([seen[k] for k in keys], pa.int64()), pa.array([docs[k] for k in keys], pa.int64())], names=["feature", "fold", "toxic", "n", "docs"])
+        seen.clear()
+        docs.clear()
+        return out
+
     for batch in batches:
-        seen, docs = Counter(), Counter()
         for text, fold, y in zip(*(batch[c].to_pylist() for c in ("text", "fold", "toxic")), strict=True):
             own = Counter()
             for w, n in Counter(WORD.findall((text or "").lower())).items():
@@ -97,10 +109,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for f, n in own.items():
                 seen[f, fold, y] += n
                 docs[f, fold, y] += 1
-        keys = list(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.int32()),
-             pa.array([seen[k] for k in keys], pa.int64()), pa.array([docs[k] for k in keys], pa.int64())], names=["feature", "fold", "toxic", "n", "docs"])
+            if len(seen) > GATHERED:
+                yield gathered()
+    yield gathered()
 
 
 def _best(models: dict[int, dict[str, float]]):
@@ -155,8 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, doc_id: str = "doc_id"
     n = known.count()
     if n > TRAIN_ROWS:
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1e6 * TRAIN_ROWS / n))
-    rows = docs.join(known.dropDuplicates(["id"]), F.col(doc_id) == F.col("id")).select(F.col(text).alias("text"), fold.cast("int").alias("fold"), "toxic")
-    rows = cut(rows.where("fold is not null"))
+    known = F.broadcast(known.dropDuplicates(["id"]))  # TRAIN_ROWS at most, but for the hash's chance
+    rows = docs.join(known, F.col(doc_id) == F.col("id")).select(F.col(text).alias("text"), fold.cast("int").alias("fold"), "toxic")
+    rows = rows.where("fold is not null")
     raw = rows.mapInArrow(_counts, "feature string, fold int, toxic int, n long, docs long")
     part = lambda what, y, f: F.sum(F.when((F.col("toxic") == y) & ((F.col("fold") == f) if f < 2 else F.lit(True)), F.col(what)).otherwise(0))
     cells = [(y, f) for y in (0, 1) for f in (0, 1, 2)]
