@@ -1,4 +1,336 @@
 """Queries by name, with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import pages, topics, urls
+from ..operators import batching, cache, classify, fetch, impressions, upsert
+from ..schemas import RESULT_COLUMNS, STAGED_COLUMNS
+from ..sources import bodies, partition, rows_of, table
+from ..sources import impressions as log_of
+from . import pipeline, sql
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+START, END, SIZE = "2024-01-05", "2024-01-15", 100
+
+
+def now():
+    return F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+
+
+def query(oracle: str | None = None):
+    def take(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+    return take
+
+
+def ext(spark, d, start=START, end=END):
+    return impressions.dedupe_with_hits(log_of(spark, d), start, end)
+
+
+def valid(spark, d):
+    return urls.transform(ext(spark, d))[0]
+
+
+def seed(spark, d):
+    """The result table before the run: every third page classified, every next one without a topic."""
+    b, page = bodies(spark, d).where("page_id % 3 < 2"), F.col("page_id")
+    first = F.element_at(F.array(*(F.lit(n) for n in classify.NAMES)), page.cast("int") % len(classify.NAMES) + 1)
+    done, sure, day = page % 3 == 0, ((page * 37) % 101) / F.lit(100.0), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    made = {
+        "created_at": day, "trimmed_page_url": F.col("bare"), "site": F.split_part("bare", F.lit("/"), F.lit(1)), "page_url": F.concat(F.lit("https://"), "bare"),
+        "business_category": F.when(done, topics.map_topic(first)), "content_topic": F.when(done, first), "prediction_confidence": F.when(done, sure), "review_flag": F.when(done, sure < 0.6),
+        "nlp_raw_categories": F.lit(None).cast("string"), "client_id": F.lit("client_0"), "last_accessed": day, "view_count": F.lit(1).cast("bigint"),
+    }
+    return b.select("url_hash", *(made[c].alias(c) for c in RESULT_COLUMNS[1:]))
+
+
+def fresh(spark, d):
+    return cache.split(valid(spark, d), seed(spark, d))[0]
+
+
+def staged(spark, d):
+    return batching.assign(fresh(spark, d), SIZE, "run")
+
+
+def texts(spark, d):
+    return fetch.with_text(fetch.stored(staged(spark, d), bodies(spark, d)))
+
+
+def rows(spark, d):
+    return classify.classified(texts(spark, d).withColumn("categories", classify.stand_in(F.col("page_id"))), now())
+
+
+BASE = sql.cte(**sql.BASE)
+RES = ", ".join(RESULT_COLUMNS)
+
+
+@query(BASE[:-1] + ",\next AS (" + sql.extract(sql.WINDOW) + ") SELECT * FROM ext")
+def extract_dedup_hits(spark, d):
+    return ext(spark, d)
+
+
+@query(BASE[:-1] + ",\next AS (" + sql.extract("date = DATE '2024-01-07'") + ") SELECT * FROM ext")
+def extract_single_day(spark, d):
+    return ext(spark, d, "2024-01-07", None)
+
+
+@query(BASE[:-1] + ",\next AS (" + sql.extract() + ") SELECT * FROM ext")
+def extract_unbounded(spark, d):
+    return ext(spark, d, None, END)
+
+
+@query(BASE + "SELECT event_id, client_id FROM imp WHERE site IS NOT NULL AND trimmed_page_url IS NOT NULL AND client_id NOT LIKE '%Demo%'")
+def demo_client_filter(spark, d):
+    return impressions.kept(log_of(spark, d)).select("event_id", "client_id")
+
+
+@query(BASE + "SELECT event_id, sha256(lower(trim(trimmed_page_url))) AS url_hash FROM imp")
+def url_hash(spark, d):
+    return log_of(spark, d).select("event_id", urls.url_key(urls.clean(F.col("trimmed_page_url"))).alias("url_hash"))
+
+
+@query(BASE + f"SELECT event_id, lower(trim(site)) AS site, lower(trim(trimmed_page_url)) AS trimmed_page_url FROM imp WHERE lower(trim(site)) NOT IN ({sql.listed(urls.PLACEHOLDERS)}) AND lower(trim(trimmed_page_url)) NOT IN ({sql.listed(urls.PLACEHOLDERS)})")
+def clean_placeholders(spark, d):
+    return urls.classify_hosts(log_of(spark, d)).select("event_id", "site", "trimmed_page_url")
+
+
+@query(sql.chain() + "SELECT url_hash, netloc, host FROM hosts")
+def host_derivation(spark, d):
+    return urls.classify_hosts(ext(spark, d)).select("url_hash", "netloc", "host")
+
+
+@query(sql.chain() + "SELECT url_hash, tld FROM hosts")
+def tld_extract(spark, d):
+    return urls.classify_hosts(ext(spark, d)).select("url_hash", "tld")
+
+
+@query(sql.chain() + "SELECT url_hash, drop_reason FROM reasons")
+def drop_reason(spark, d):
+    return urls.classify_hosts(ext(spark, d)).select("url_hash", "drop_reason")
+
+
+@query(sql.chain() + "SELECT drop_reason, count(*) AS n FROM reasons GROUP BY drop_reason")
+def drop_reason_counts(spark, d):
+    return urls.classify_hosts(ext(spark, d)).groupBy("drop_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(sql.chain() + "SELECT * FROM valid")
+def valid_urls(spark, d):
+    return valid(spark, d).drop("drop_reason")
+
+
+@query(sql.chain() + "SELECT site, trimmed_page_url, host, drop_reason FROM reasons WHERE drop_reason IS NOT NULL")
+def rejected_urls(spark, d):
+    return urls.transform(ext(spark, d))[1]
+
+
+@query(sql.chain() + "SELECT url_hash, page_url FROM valid")
+def page_url_build(spark, d):
+    return valid(spark, d).select("url_hash", "page_url")
+
+
+@query(BASE + "SELECT url_hash, count(*) AS dup_hits FROM (SELECT sha256(lower(trim(trimmed_page_url))) AS url_hash FROM imp) GROUP BY url_hash")
+def dup_counts(spark, d):
+    return url_hash(spark, d).groupBy("url_hash").agg(F.count(F.lit(1)).alias("dup_hits"))
+
+
+@query(BASE + "SELECT url_hash FROM keys")
+def cached_keys(spark, d):
+    return cache.processed_keys(seed(spark, d))
+
+
+@query(sql.chain() + "SELECT url_hash, page_url FROM valid WHERE url_hash IN (SELECT url_hash FROM keys)")
+def cached_semi(spark, d):
+    return cache.cached(valid(spark, d), seed(spark, d)).select("url_hash", "page_url")
+
+
+@query(sql.chain() + "SELECT url_hash, page_url FROM fresh")
+def uncached_anti(spark, d):
+    return cache.uncached(valid(spark, d), seed(spark, d)).select("url_hash", "page_url")
+
+
+@query(sql.chain() + "SELECT * FROM fresh")
+def cache_split_full(spark, d):
+    return fresh(spark, d).drop("drop_reason")
+
+
+@query(sql.chain() + "SELECT * FROM touches")
+def cached_touches(spark, d):
+    return cache.split(valid(spark, d), seed(spark, d))[1]
+
+
+@query(sql.chain() + f"SELECT {RES} FROM touched")
+def touch_merge(spark, d):
+    s = seed(spark, d)
+    return upsert.touch(s, cache.split(valid(spark, d), s)[1], now())
+
+
+@query("SELECT n::BIGINT AS n, greatest(size, CASE WHEN ceil(n / size) > 900 THEN ceil(n / 900.0) ELSE size END)::BIGINT AS size, CASE WHEN n = 0 THEN 0 ELSE ceil(n / (greatest(size, CASE WHEN ceil(n / size) > 900 THEN ceil(n / 900.0) ELSE size END))) END::BIGINT AS batches FROM (VALUES (0, 1000.0), (1000, 1000.0), (2500, 1000.0), (2500, 1.0)) t(n, size)")
+def batch_plan(spark, d):
+    return rows_of(spark, [(n, *batching.plan(n, s, 900)) for n, s in ((0, 1000), (1000, 1000), (2500, 1000), (2500, 1))], "n long, size long, batches long")
+
+
+@query(sql.chain() + "SELECT url_hash, batch_index, batch_id, run_id FROM batched")
+def batch_assign(spark, d):
+    return staged(spark, d).select("url_hash", "batch_index", "batch_id", "run_id")
+
+
+@query(sql.chain() + "SELECT batch_id, count(*) AS n FROM batched GROUP BY batch_id")
+def batch_sizes(spark, d):
+    return staged(spark, d).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(sql.chain() + "SELECT url_hash, page_url FROM batched WHERE batch_id = 'batch_0_run'")
+def batch_scan(spark, d):
+    return partition(staged(spark, d), "batch_0_run").select("url_hash", "page_url")
+
+
+@query(sql.chain() + f"SELECT {', '.join(STAGED_COLUMNS)} FROM (SELECT * REPLACE (CASE WHEN batch_index = 0 THEN access_hits + 10 ELSE access_hits END AS access_hits) FROM batched)")
+def stage_merge(spark, d):
+    rows_ = staged(spark, d)
+    before = rows_.where("batch_index = 0").select(*STAGED_COLUMNS)
+    after = rows_.withColumn("access_hits", F.when(F.col("batch_index") == 0, F.col("access_hits") + 10).otherwise(F.col("access_hits")))
+    return upsert.stage(before, after.select(*STAGED_COLUMNS))
+
+
+@query(sql.chain() + "SELECT url_hash, batch_id, CASE WHEN batch_index = 0 THEN page_text END AS page_text FROM texts")
+def attach_text_merge(spark, d):
+    got = staged(spark, d).select(*STAGED_COLUMNS).withColumn("page_text", F.lit(None).cast("string"))
+    return upsert.attach_text(got, texts(spark, d).where("batch_index = 0").select("batch_id", "url_hash", "page_text")).select("url_hash", "batch_id", "page_text")
+
+
+@query(sql.chain() + "SELECT url_hash, page_text FROM texts WHERE batch_id = 'batch_0_run' AND page_text IS NOT NULL")
+def batch_scan_text(spark, d):
+    return partition(texts(spark, d), "batch_0_run", with_text=True).select("url_hash", "page_text")
+
+
+@query(f"SELECT page_id, {sql.is_html('html')} AS is_html FROM pages")
+def html_sniff(spark, d):
+    return table(spark, d, "pages").select("page_id", pages.is_html(F.col("html")).alias("is_html"))
+
+
+@query(f"SELECT page_id, {sql.visible('html')} AS page_text FROM pages")
+def visible_text(spark, d):
+    return table(spark, d, "pages").select("page_id", pages.visible_text(F.col("html")).alias("page_text"))
+
+
+@query(f"SELECT doc_id FROM documents WHERE {sql.n_words('text')} >= 20")
+def min_word_filter(spark, d):
+    return classify.enough_words(table(spark, d, "documents").withColumnRenamed("text", "page_text")).select("doc_id")
+
+
+@query(f"SELECT doc_id, (length(text) < 10000 OR regexp_matches(lower(substring(text, 1, 16000)), {sql.q('|'.join(pages.BLOCKED))})) AS blocked FROM documents")
+def blocked_page(spark, d):
+    return table(spark, d, "documents").select("doc_id", pages.is_blocked(F.substring("text", 1, 16000), F.char_length("text")).alias("blocked"))
+
+
+@query(sql.chain() + f"SELECT url_hash, (h = '' OR regexp_extract(h, '([^.]*)$', 1) IN ({sql.listed(urls.RESERVED)}) OR regexp_matches(h, {sql.q(urls.INTERNAL_SUFFIX)})) AS internal FROM (SELECT url_hash, lower(regexp_extract(page_url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS h FROM valid)")
+def internal_guard(spark, d):
+    return valid(spark, d).select("url_hash", urls.not_public(F.col("page_url")).alias("internal"))
+
+
+@query("SELECT status::INTEGER AS status, attempt::INTEGER AS attempt, CASE WHEN status IN (401, 404, 410) THEN 'skip' WHEN status BETWEEN 200 AND 299 THEN 'body' WHEN status IN (403, 429) OR status BETWEEN 500 AND 599 THEN CASE WHEN attempt < 2 THEN 'retry' ELSE 'fall_through' END ELSE 'skip' END AS action FROM range(100, 600) s(status), range(0, 4) a(attempt)")
+def http_action(spark, d):
+    grid = spark.range(100, 600).select(F.col("id").cast("int").alias("status"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("attempt"))
+    return grid.withColumn("action", pages.http_action(F.col("status"), F.col("attempt")))
+
+
+@query("SELECT attempt::INTEGER AS attempt, 0.75::DOUBLE * pow(2.0, attempt) * 0.5 AS low, 0.75::DOUBLE * pow(2.0, attempt) * 1.5 AS high FROM range(0, 6) a(attempt)")
+def backoff_bounds(spark, d):
+    return spark.range(6).select(F.col("id").cast("int").alias("attempt"), pages.backoff_bounds(F.col("id")).alias("b")).select("attempt", "b.low", "b.high")
+
+
+@query("SELECT event_id, try_cast(CASE WHEN event_id % 3 = 0 THEN 'soon' ELSE event_id % 90 END AS DOUBLE) AS seconds FROM (SELECT event_id FROM events)".replace("ELSE event_id % 90", "ELSE CAST(event_id % 90 AS VARCHAR)"))
+def retry_after(spark, d):
+    header = F.when(F.col("event_id") % 3 == 0, "soon").otherwise((F.col("event_id") % 90).cast("string"))
+    return table(spark, d, "events").select("event_id", pages.retry_after(header, now()).alias("seconds"))
+
+
+@query(sql.chain() + f"SELECT url_hash, coalesce({sql.HOME}, false) AS home FROM valid")
+def homepage_flag(spark, d):
+    return valid(spark, d).select("url_hash", urls.is_homepage(F.col("trimmed_page_url"), F.col("site")).alias("home"))
+
+
+TOPICS = [p for p, _ in topics.RULES] + [p + "x/y" for p, _ in topics.RULES] + ["/Sports", "/Health/Aging", "", "/Jobs & Education/Education"]
+TOPIC_SQL = f"(SELECT unnest([{sql.listed(TOPICS)}]) AS topic)"
+
+
+@query(f"SELECT topic, {sql.map_topic('topic')} AS label FROM {TOPIC_SQL}")
+def topic_map(spark, d):
+    return rows_of(spark, [(t,) for t in TOPICS], "topic string").withColumn("label", topics.map_topic(F.col("topic")))
+
+
+@query(f"SELECT topic, {sql.map_topic('topic')} AS label FROM {TOPIC_SQL}")
+def topic_map_theta(spark, d):
+    """The same by a join with the rules as a table of fixed size."""
+    own = rows_of(spark, [(i, t) for i, t in enumerate(TOPICS)], "id int, topic string")
+    hit = own.join(F.broadcast(topics.rules(spark)), F.col("topic").startswith(F.col("prefix")), "left")
+    return hit.groupBy("id", "topic").agg(F.min_by("label", "ordinal").alias("label")).select("topic", F.coalesce("label", F.lit(topics.OTHER)).alias("label"))
+
+
+@query(sql.chain() + f"SELECT {RES} FROM classified")
+def categorize_rows(spark, d):
+    return rows(spark, d)
+
+
+@query(sql.chain() + "SELECT url_hash, nlp_raw_categories FROM classified")
+def raw_categories_render(spark, d):
+    return rows(spark, d).select("url_hash", "nlp_raw_categories")
+
+
+@query(sql.chain() + "SELECT count(*) AS n_rows, count(DISTINCT url_hash) AS n_hashes, count(content_topic) AS n_topics, count(business_category) AS n_categories, count(prediction_confidence) AS n_confidences, round(avg(prediction_confidence), 6) AS avg_confidence, sum(review_flag::INTEGER)::BIGINT AS n_review, sum(view_count)::BIGINT AS views FROM classified")
+def batch_summary(spark, d):
+    return classify.summary(rows(spark, d))
+
+
+@query(sql.chain() + "SELECT url_hash, content_topic FROM seed WHERE content_topic IS NOT NULL AND prediction_confidence IS NOT NULL AND NOT isnan(prediction_confidence)")
+def load_success_filter(spark, d):
+    return upsert.loadable(seed(spark, d)).select("url_hash", "content_topic")
+
+
+@query(sql.chain(loaded=sql.best("seed", "classified")) + f"SELECT {RES} FROM loaded")
+def best_confidence_merge(spark, d):
+    return upsert.best_confidence(seed(spark, d), rows(spark, d), now())
+
+
+@query(sql.chain() + "SELECT url_hash, lifetime_hits FROM life")
+def lifetime_hits(spark, d):
+    return impressions.lifetime_hits(log_of(spark, d))
+
+
+@query(sql.chain(loaded=sql.reconciled("seed", "keys")) + f"SELECT {RES} FROM loaded")
+def reconcile_merge(spark, d):
+    s = seed(spark, d)
+    return upsert.reconcile(s, impressions.lifetime_hits(log_of(spark, d), cache.processed_keys(s)), now())
+
+
+@query(sql.chain("date = DATE '2024-01-07'", loaded=sql.best("touched", "classified"), final=sql.reconciled("loaded", "classified")) + f"SELECT {RES} FROM final")
+def pipeline_day1(spark, d):
+    return pipeline.run(log_of(spark, d), seed(spark, d), bodies(spark, d), pipeline.Config("2024-01-07", batch_size=SIZE))
+
+
+@query()
+def pipeline_day2(spark, d):
+    """The day after on the first one's table: only new keys are classified."""
+    return pipeline.run(log_of(spark, d), pipeline_day1(spark, d), bodies(spark, d), pipeline.Config("2024-01-08", run_id="next", batch_size=SIZE))
+
+
+@query("SELECT page_id, CASE WHEN page_id % 4 = 0 THEN true ELSE false END AS is_binary FROM pages")
+def binary_sniff(spark, d):
+    mark = F.element_at(F.array(*(F.unhex(F.lit(m)) for m in pages.MAGIC)), (F.col("page_id") % 5 + 1).cast("int"))
+    data = F.when(F.col("page_id") % 4 == 0, F.concat(mark, F.encode("html", "UTF-8"))).otherwise(F.encode("html", "UTF-8"))
+    return table(spark, d, "pages").select("page_id", pages.looks_binary(data).alias("is_binary"))
+
+
+@query("SELECT page_id, html AS text FROM pages")
+def decode_text(spark, d):
+    return table(spark, d, "pages").select("page_id", pages.decoded(F.encode("html", "UTF-8")).alias("text"))
