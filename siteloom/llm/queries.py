@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, minhash, mixing, pii, quality, segmenting, sharding, toxicity
+from . import chat, embeddings, minhash, mixing, passages, pii, quality, segmenting, sharding, toxicity
 from .common import table, words
 
 QUERIES: dict = {}
@@ -146,3 +146,11 @@ def op10_segmenting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_segmenting"] = op10_segmenting
+
+
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 100 bytes."""
+    return passages.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op6_passages"] = op6_passages
