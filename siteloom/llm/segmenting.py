@@ -26,7 +26,9 @@ from .common import small_batches
 
 SPACE = "▁"
 #: Lattice nodes that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
+#: Texts that are sampled at once; their chunks must fit in what is remembered.
+AT_ONCE = 32
 #: What a score of a byte-pair vocabulary, minus the rank of the piece, is taken as: the log of a Zipf share.
 ZIPF = 1.0
 
@@ -290,7 +292,7 @@ def _encoded(path: str, k: int, seed: int, packed: bool):
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             keys = [int.from_bytes(hashlib.blake2b(repr(x).encode(), digest_size=8).digest(), "little") for x in batch["key"].to_pylist()]
-            found = sampler.sample(texts, keys)
+            found = [f for s in range(0, len(texts), AT_ONCE) for f in sampler.sample(texts[s : s + AT_ONCE], keys[s : s + AT_ONCE])]
             at = pa.array([i for i, f in enumerate(found) for _ in f])
             flat = [x for f in found for x in f]
             v = sampler.lattices.v
