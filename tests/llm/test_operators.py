@@ -185,6 +185,17 @@ def test_quality_keeps_clean(spark):
     assert quality.judge(df.limit(0), ratios).count() == 0
 
 
+@pytest.mark.parametrize("n", [120, 1200])
+def test_quality_is_alike_at_every_size(spark, n):
+    """A vocabulary that grows with the corpus: junk stays out and clean texts stay, however many n-grams there are."""
+    rng = np.random.default_rng(n)
+    text = lambda kind, i: " ".join(f"{kind}{k}" for k in rng.integers(12 * n, size=120))
+    df = docs_of(spark, [text("clean" if i % 2 else "junk", i) for i in range(n)])
+    got = {r.doc_id: r for r in quality.judge(df, quality.weights(df, df.where("doc_id % 4 = 1"))).collect()}
+    junk, held = ([got[i] for i in range(n) if i % 4 in k] for k in ((0, 2), (3,)))
+    assert not any(r.kept for r in junk) and sum(r.kept for r in held) > 0.9 * len(held)
+
+
 # passages
 
 
