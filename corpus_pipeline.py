@@ -12,6 +12,8 @@ from siteloom.llm import minhash, mixing, pii, queries, segmenting, toxicity
 from siteloom.llm.common import table, words
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Words of a shingle in the near-duplicates stage; the thin query op4_minhash has its own.
+SHINGLE = 5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near duplicates."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    """The document of the smallest id of each group of near duplicates, by five-word shingles."""
+    kept = minhash.near_duplicates(docs, width=SHINGLE).where("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
 

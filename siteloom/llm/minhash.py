@@ -1,6 +1,6 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
-The SKETCH smallest hash values of a document's word-pair set are retained. Their inverted lists give candidate
+The SKETCH smallest hash values of a document's set of shingles, runs of so many words, are retained. Their inverted lists give candidate
 pairs, the union sketch of a pair estimates its similarity and filters, and the exact Jaccard similarity of the
 full sets, taken from the texts, decides.
 
@@ -49,55 +49,62 @@ def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def shingle_hashes(words: list[bytes], hashes: dict) -> np.ndarray:
-    """Distinct 64-bit hashes of the 2-word shingles, ascending; of the whole sequence, if it has fewer words."""
+def shingle_hashes(words: list[bytes], hashes: dict, width: int = 2) -> np.ndarray:
+    """Distinct 64-bit hashes of the shingles of width words, ascending; of the whole sequence, if it has fewer words."""
     if not words:
         return np.empty(0, np.uint64)
     a = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    if len(a) == 1:
-        return a ^ np.uint64(0xA0761D6478BD642F)
-    x = a[:-1] * np.uint64(0x9E3779B97F4A7C15) + (a[1:] ^ (a[1:] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(31)
-    x *= np.uint64(0x94D049BB133111EB)
-    return np.unique(x ^ (x >> np.uint64(30)))
+    run = min(width, len(a))
+    x = a[: len(a) - run + 1]
+    for k in range(1, run):
+        b = a[k : len(a) - run + 1 + k]
+        x = x * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(31)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(30)
+    return np.unique(x) if run == width else x ^ np.uint64(0xA0761D6478BD642F)
+
+
+def _sketches(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            sets = [shingle_hashes(split_words(t), hashes, width) for t in batch["text"].to_pylist()]
+            kept = [s[:SKETCH].view(np.int64) for s in sets]
+            offsets = np.cumsum([0, *map(len, kept)], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["text_hash"], pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*kept, np.empty(0, np.int64)]))),
+                 pa.array([(s[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary())],
+                names=["doc_id", "text_hash", "n", "digest", "vs", "sketch"],
+            )
+    return run
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _Hashes()
-    for batch in batches:
-        sets = [shingle_hashes(split_words(t), hashes) for t in batch["text"].to_pylist()]
-        kept = [s[:SKETCH].view(np.int64) for s in sets]
-        offsets = np.cumsum([0, *map(len, kept)], dtype=np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["text_hash"], pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*kept, np.empty(0, np.int64)]))),
-             pa.array([(s[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary())],
-            names=["doc_id", "text_hash", "n", "digest", "vs", "sketch"],
-        )
-
-
-def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _Hashes()
-    for batch in batches:
-        made = [(shingle_hashes(split_words(t), hashes)[:WIDE] >> np.uint64(32)).astype(np.uint32).tobytes() for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["cid"], pa.array(made, pa.binary())], names=["cid", "sketch"])
+def _wide(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            made = [(shingle_hashes(split_words(t), hashes, width)[:WIDE] >> np.uint64(32)).astype(np.uint32).tobytes() for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["cid"], pa.array(made, pa.binary())], names=["cid", "sketch"])
+    return run
 
 
-def _pair_set(text: str) -> set:
+def _shingle_set(text: str, width: int) -> set:
     words = split_words(text)
-    return set(zip(words, words[1:])) if len(words) > 1 else {tuple(words)}
+    return set(zip(*(words[k:] for k in range(width)))) if len(words) >= width else {tuple(words)}
 
 
-def _verified(percent: int):
+def _verified(percent: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, set()
         for batch in batches:
             keep = []
             for i, (a, x, y) in enumerate(zip(batch["a"].to_pylist(), batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)):
                 if a != last:
-                    last, own = a, _pair_set(x)
-                other = _pair_set(y)
+                    last, own = a, _shingle_set(x, width)
+                other = _shingle_set(y, width)
                 common = len(own & other)
                 if 100 * common >= percent * (len(own) + len(other) - common):
                     keep.append(i)
@@ -181,11 +188,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch_of([*_crossing_pairs(rows)])
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80, width: int = 2) -> DataFrame:
     """A row for each row of docs: doc_id, n_shingles, component_id, kept.
 
-    Documents are linked if 100 * common >= percent * union of their 2-word shingle sets (percent of 80 or more:
-    the prefixes are made for that). component_id is the smallest doc_id reachable over links. Texts without words,
+    Documents are linked if 100 * common >= percent * union of their sets of shingles of width words (percent of 80 or
+    more: the prefixes are made for that). component_id is the smallest doc_id reachable over links. Texts without words,
     null or empty, have no shingles and stay alone. Rows with equal sets are one class, whatever their number;
     rows that share a doc_id are rows of their own; a null doc_id never names a component that has another one.
     An empty table gives no rows; other columns are ignored.
@@ -195,7 +202,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    made = cut(rows.mapInArrow(_sketches, "doc_id long, text_hash long, n long, digest binary, vs array<long>, sketch binary"))
+    made = cut(rows.mapInArrow(_sketches(width), "doc_id long, text_hash long, n long, digest binary, vs array<long>, sketch binary"))
     classes = cut(
         made.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "text_hash")).alias("source"), F.first("vs").alias("vs"), F.first("sketch").alias("sketch"))
     ).withColumn("cid", F.monotonically_increasing_id())
@@ -228,7 +235,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         """Those of the estimated pairs that are links, by the texts of their documents."""
         texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
         full = with_both(pairs, texts, "text").select("a", "b", "x", "y").sortWithinPartitions("a")
-        return cut(full.mapInArrow(_verified(percent), "a long, b long"))
+        return cut(full.mapInArrow(_verified(percent, width), "a long, b long"))
 
     label = spark.createDataFrame([], "id long, component long")
     found, open_ = None, listed
@@ -246,7 +253,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             mine = mine.select("cid", F.unhex(F.array_join(F.transform("vs", lambda v: F.lpad(F.hex(v.bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))), 8, "0")), "")).alias("lists"))
             pairs = _crossing(short, sketches.join(mine, "cid"))
             if not long.isEmpty():
-                wide = cut(texts_of(long.select("cid").distinct()).mapInArrow(_wide, "cid long, sketch binary"))
+                wide = cut(texts_of(long.select("cid").distinct()).mapInArrow(_wide(width), "cid long, sketch binary"))
                 pairs = pairs.unionAll(_crossing(long, wide.withColumn("lists", F.lit(None).cast("binary"))))
             pairs = cut(pairs.distinct())
         if pairs.isEmpty():

@@ -88,7 +88,7 @@ QUERIES["op3_toxicity"] = op3_toxicity
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of all documents: word pairs, similarity of 0.8 or more."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
 QUERIES["op4_minhash"] = op4_minhash

@@ -5,6 +5,7 @@ import itertools
 import math
 import re
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -151,6 +152,16 @@ def test_long_lists_are_compared_by_wide_sketches(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(spark, texts)).collect()} == want
 
 
+def changed(text, places):
+    return " ".join("other" if i in places else w for i, w in enumerate(text.split()))
+
+
+def test_stage_takes_five_words(spark):
+    a, b = prose(60, 50), prose(60, 51)
+    df = docs_of(spark, [a, changed(a, {20, 40}), b, changed(b, {30}), "four words in it", "four words in IT", "four words in"])
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()) == [0, 1, 2, 4, 6]
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (5, 4), (4, 4), (None, 7), (9, 8), (8, 3)] + [(100, 100 + i) for i in range(1, 40)]
     got = {r.id: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
