@@ -24,9 +24,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near duplicates, by five-word shingles."""
-    kept = minhash.near_duplicates(docs, width=SHINGLE).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """One row of each group of near duplicates by five-word shingles: of the smallest id, a null one last.
+
+    Rows are told apart by id and text, so those with a null or a shared id count like others, and exact repeats of a
+    row are one group. Texts without words all stay.
+    """
+    return minhash.one_of_each(docs.select(*COLUMNS), width=SHINGLE)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

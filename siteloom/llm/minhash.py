@@ -197,6 +197,37 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows that share a doc_id are rows of their own; a null doc_id never names a component that has another one.
     An empty table gives no rows; other columns are ignored.
     """
+    made, whole = _linked(docs, doc_id, text, percent, width)
+    least = whole.groupBy("label").agg(F.min("first").alias("component_id"))
+    named = whole.join(least, "label").select("digest", "component_id")
+    return made.select("doc_id", "n", "digest").join(named, "digest", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        ((F.col("n") == 0) | F.col("component_id").eqNullSafe(F.col("doc_id"))).alias("kept"),
+    )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80, width: int = 2) -> DataFrame:
+    """The rows of docs, all columns, but one row only of each component of linked documents.
+
+    That is the row of the smallest id, nulls last, and of the smallest text hash within it; of rows that share both,
+    the least by all columns. Rows of texts without words, null or empty, are never repeats and all stay.
+    """
+    made, whole = _linked(docs, doc_id, text, percent, width)
+    best = whole.groupBy("label").agg(F.min("source").alias("source")).select(F.col("source.doc_id").alias("_id"), F.col("source.text_hash").alias("_hash"))
+    times = made.groupBy(F.col("doc_id").alias("_id2"), F.col("text_hash").alias("_hash2")).agg(F.count(F.lit(1)).alias("_times"))
+    best = best.join(times, best["_id"].eqNullSafe(times["_id2"]) & (best["_hash"] == times["_hash2"])).select("_id", "_hash", "_times")
+    whole_text = F.coalesce(F.col(text), F.lit(""))
+    worded = whole_text.rlike(r"[^ \t-\r]")
+    rows = docs.where(worded).select(F.struct(*docs.columns).alias("_row"), F.col(doc_id).cast("long").alias("_own"), F.xxhash64(whole_text).alias("_own_hash"))
+    found = rows.join(best, rows["_own"].eqNullSafe(best["_id"]) & (rows["_own_hash"] == best["_hash"])).select("_row", "_id", "_hash", "_times")
+    repeated = found.where("_times > 1").groupBy("_id", "_hash").agg(F.min("_row").alias("_row"))
+    return found.where("_times = 1").select("_row.*").unionByName(repeated.select("_row.*")).unionByName(docs.where(~worded))
+
+
+def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """Each row of docs as (doc_id, text_hash, n, digest, ...), and of each digest of a set with shingles (digest, first,
+    source, label): its smallest id, its first row as (none, doc_id, text_hash), and its component."""
     if percent < 80:
         raise ValueError("the inverted lists are complete from 80 percent on")
     spark = docs.sparkSession
@@ -204,7 +235,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     made = cut(rows.mapInArrow(_sketches(width), "doc_id long, text_hash long, n long, digest binary, vs array<long>, sketch binary"))
     classes = cut(
-        made.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "text_hash")).alias("source"), F.first("vs").alias("vs"), F.first("sketch").alias("sketch"))
+        made.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("source"), F.first("vs").alias("vs"), F.first("sketch").alias("sketch"))
     ).withColumn("cid", F.monotonically_increasing_id())
 
     # Lists: only values that two classes retain, of each class its rarest.
@@ -262,14 +293,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         found = more if found is None else found.unionByName(more)
         label = cut(components(found))
 
-    whole = classes.join(label.withColumnRenamed("id", "cid"), "cid", "left").select("digest", "first", F.coalesce("component", "cid").alias("label"))
-    least = whole.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = whole.join(least, "label").select("digest", "component_id")
-    return made.select("doc_id", "n", "digest").join(named, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        ((F.col("n") == 0) | F.col("component_id").eqNullSafe(F.col("doc_id"))).alias("kept"),
-    )
+    whole = classes.join(label.withColumnRenamed("id", "cid"), "cid", "left").select("digest", "first", "source", F.coalesce("component", "cid").alias("label"))
+    return made, whole
 
 
 def _crossing(open_: DataFrame, sketches: DataFrame) -> DataFrame:

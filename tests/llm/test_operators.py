@@ -162,6 +162,18 @@ def test_stage_takes_five_words(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()) == [0, 1, 2, 4, 6]
 
 
+def test_stage_decides_by_row(spark):
+    a, b, c, d, e = (prose(60, 60 + i) for i in range(5))
+    near = lambda t: changed(t, {30})
+    texts = [(None, a), (None, b), (None, near(b)), (3, c), (3, c), (5, d), (7, near(d)), (7, e), (None, near(c)), (None, None), (9, ""), (9, "")]
+    df = docs_of(spark, [t for _, t in texts], ids=[i for i, _ in texts])
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()), key=str)
+    of_b = [x for x in got if x in ((None, b), (None, near(b)))]
+    assert len(of_b) == 1
+    assert got == sorted([(None, a), *of_b, (3, c), (5, d), (7, e), (None, None), (9, ""), (9, "")], key=str)
+    assert corpus_pipeline.drop_near_duplicates(spark, df.limit(0), "").count() == 0
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (5, 4), (4, 4), (None, 7), (9, 8), (8, 3)] + [(100, 100 + i) for i in range(1, 40)]
     got = {r.id: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
