@@ -6,7 +6,8 @@ segmentations that go on with it; that is the tree in which a search with pertur
 segmentation is the walk from the root with the root's Gumbel value. Every step leaves the pieces that it didn't take as one
 node, whose best perturbed value is a Gumbel value of that node's mass, truncated at the parent's; the search
 takes the node with the highest value next, chooses within it and walks on. So exactly the segmentations with the
-k highest perturbed log-probabilities come out, in order, and no other is ever expanded.
+k highest perturbed log-probabilities come out, in order, and no other is ever expanded. A text whose chunks are more
+than is remembered is walked group by group of chunks, with the same outcome.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 SPACE = "▁"
-#: Lattice nodes that a worker remembers.
+#: Lattice nodes that a worker remembers, besides the last chunk's.
 REMEMBERED = 800_000
-#: Texts that are sampled at once; their chunks must fit in what is remembered.
+#: Texts that are sampled at once, fewer if their chunks don't fit in what is remembered.
 AT_ONCE = 32
 #: What a score of a byte-pair vocabulary, minus the rank of the piece, is taken as: the log of a Zipf share.
 ZIPF = 1.0
@@ -158,12 +159,16 @@ class _Search:
     def __init__(self, key: int, roots: np.ndarray, seed: int, lattices: Lattices):
         self.key, self.roots, self.seed, self.lat = np.uint64(key), roots, seed, lattices
         self.walks: list[tuple[np.ndarray, np.ndarray, float]] = []  # chunk and choice of each step, perturbed value
+        self.shares: list[np.ndarray] = []  # log-share of each step's choice
         self.open: list[tuple[int, np.ndarray, dict]] = []  # first step, best value of what each step left, taken by step
 
-    def record(self, chunk: np.ndarray, choice: np.ndarray, value: float, since: int) -> None:
-        turn, lat = len(self.walks), self.lat
+    def load(self, chunk: int) -> None:
+        """Make the choices of a chunk's steps those of the lattices; here they always are."""
+
+    def record(self, chunk: np.ndarray, choice: np.ndarray, value: float, since: int, share: np.ndarray) -> None:
+        turn = len(self.walks)
         self.walks.append((chunk, choice, value))
-        share = lat.log_share[choice]
+        self.shares.append(share)
         before, own = (np.cumsum(share) - share)[since:], share[since:]
         rest = -np.expm1(own)
         u = _uniform(self.key, self.seed, turn, np.arange(since, len(choice)), 2)
@@ -176,11 +181,19 @@ class _Search:
 
     def turn(self, value: float, n: int) -> tuple[int, int, int, np.ndarray, np.ndarray]:
         """Take the open node with that value: (walk, step, choice), and the nodes and chunks that are walked next."""
+        step, pick, c, node = self.branch(value, n)
+        ahead = [node] if node >= 0 else []
+        return n, step, pick, np.array([*ahead, *self.roots[c + 1 :]], np.int64), np.array([*[c] * len(ahead), *range(c + 1, len(self.roots))], np.int64)
+
+    def branch(self, value: float, n: int) -> tuple[int, int, int, int]:
+        """Take the open node with that value: (step, choice, chunk), and the node in it that comes next, or -1."""
         lat = self.lat
         since, g, taken = self.open[n]
         j = int(g.argmax())
         step = since + j
         chunk, choice, _ = self.walks[n]
+        c = int(chunk[step])
+        self.load(c)
         node = int(np.searchsorted(lat.first[: lat.nodes + 1], choice[step], "right")) - 1
         own = taken.setdefault(j, {int(choice[step])})
         left = np.array([c for c in range(lat.first[node], lat.first[node + 1]) if c not in own])
@@ -190,13 +203,44 @@ class _Search:
         own.add(pick)
         still = float(share.sum() - np.exp(lat.log_share[pick]))
         if len(left) > 1 and still > 1e-15:
-            before = float(lat.log_share[choice[:step]].sum())
+            before = float(self.shares[n][:step].sum())
             g[j] = truncated(np.array([before + math.log(still)]), value, _uniform(self.key, self.seed, len(self.walks), np.array([step]), 4))[0]
         else:
             g[j] = -np.inf
-        c = int(chunk[step])
-        ahead = [int(lat.to[pick])] if lat.to[pick] >= 0 else []
-        return n, step, pick, np.array([*ahead, *self.roots[c + 1 :]], np.int64), np.array([*[c] * len(ahead), *range(c + 1, len(self.roots))], np.int64)
+        return step, pick, c, int(lat.to[pick])
+
+
+class _LongSearch(_Search):
+    """The same of a text whose lattices aren't held together; nodes and choices are numbered within their chunk."""
+
+    def __init__(self, key: int, chunks: list[str], seed: int, lattices: Lattices):
+        super().__init__(key, np.empty(0, np.int64), seed, lattices)
+        self.chunks = chunks
+
+    def load(self, chunk: int) -> None:
+        self.lat.clear()
+        self.lat.add(self.chunks[chunk])
+
+    def groups(self, start: int, ahead: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Chunks from start on whose lattices are held together: (place, node, first choice of its chunk) of each.
+
+        Nodes are the chunks' ends, but for the first one's if ahead is a node.
+        """
+        lat, rows = self.lat, []
+        lat.clear()
+        for c in range(start, len(self.chunks)):
+            chunk = self.chunks[c]
+            root = lat.root.get(chunk)
+            if root is None:
+                if lat.nodes > REMEMBERED:
+                    yield tuple(np.array(rows, np.int64).T)
+                    rows = []
+                    lat.clear()
+                root = lat.add(chunk)
+            first = root - len(chunk) + 1
+            rows.append((c, first + ahead if c == start and ahead >= 0 else root, lat.first[first]))
+        if rows:
+            yield tuple(np.array(rows, np.int64).T)
 
 
 class Sampler:
@@ -239,7 +283,7 @@ class Sampler:
                 roots = self.roots(texts)
             except OverflowError:  # one batch holds more than is remembered
                 if len(texts) == 1:
-                    raise ValueError("a text is too long for REMEMBERED") from None
+                    return [self._long(texts[0], keys[0])]
                 half = len(texts) // 2
                 return self.sample(texts[:half], keys[:half]) + self.sample(texts[half:], keys[half:])
         lat = self.lattices
@@ -257,7 +301,8 @@ class Sampler:
             for n, (i, (chunk0, choice0), since, value, _, _) in enumerate(todo):
                 own = slice(edges[n], edges[n + 1])
                 search = searches[i]
-                search.record(np.concatenate([chunk0, place[which[own]]]), np.concatenate([choice0, choice[own]]), value, since)
+                taken = np.concatenate([choice0, choice[own]])
+                search.record(np.concatenate([chunk0, place[which[own]]]), taken, value, since, lat.log_share[taken])
                 value, open_ = search.bound()
                 if turn < self.k - 1 and value > -np.inf:
                     walk, step, pick, nodes, chunks = search.turn(value, open_)
@@ -266,19 +311,44 @@ class Sampler:
             todo = following
         return [self._results(s) for s in searches]
 
+    def _long(self, text: str, key: int) -> list[tuple[list[int], float, float, float]]:
+        """What sample() gives for a text whose chunks don't fit in what is remembered."""
+        lat = self.lattices
+        search = _LongSearch(key % (1 << 64), lat.v.chunk.findall(SPACE + text.replace(" ", SPACE)), self.seed, lat)
+        value = float(-math.log(-math.log(_uniform(np.array([search.key], np.uint64), self.seed, 0)[0])))
+        before = [np.empty(0, t) for t in (np.int64, np.int64, float, float, np.int64)]
+        steps, log_z, since, start, ahead = [], 0.0, 0, 0, -1  # steps: chunk, choice, log-share, cost and piece of each
+        for turn in range(self.k):
+            parts = [before]
+            for place, nodes, first in search.groups(start, ahead):
+                which, choice = self.walk(nodes, np.full(len(nodes), search.key), place, turn)
+                parts.append([place[which], choice - first[which], lat.log_share[choice], lat.cost[choice], lat.piece[choice]])
+                if turn == 0:
+                    log_z += float(lat.mass[nodes].sum())
+            steps.append([np.concatenate(x) for x in zip(*parts, strict=True)])
+            search.record(steps[-1][0], steps[-1][1], value, since, steps[-1][2])
+            value, walk = search.bound()
+            if turn == self.k - 1 or value == -np.inf:
+                break
+            step, pick, start, ahead = search.branch(value, walk)
+            before = [np.append(x[:step], x_) for x, x_ in zip(steps[walk], (start, pick, lat.log_share[pick], lat.cost[pick], lat.piece[pick]), strict=True)]
+            since, start = step + 1, start if ahead >= 0 else start + 1
+        threshold = search.bound()[0]
+        return [self._result(chunk, cost, piece, value, log_z, threshold) for (chunk, _, _, cost, piece), (_, _, value) in zip(steps, search.walks, strict=True)]
+
     def _results(self, search: _Search) -> list[tuple[list[int], float, float, float]]:
         lat, threshold = self.lattices, search.bound()[0]
         log_z = float(lat.mass[search.roots].sum()) if len(search.roots) else 0.0
-        out = []
-        for chunk, choice, value in search.walks:
-            log_p = float(lat.cost[choice].sum()) - log_z
-            inclusion = 1.0 if threshold == -np.inf else float(-np.expm1(-np.exp(min(log_p - threshold, 50.0))))
-            order = np.lexsort((-np.arange(len(choice)), chunk))
-            ids = lat.piece[choice[order]]
-            if (ids < 0).any():
-                ids = np.array([x for i in ids.tolist() for x in ((i,) if i >= 0 else (lat.v.byte_id[b] for b in chr(-1 - i).encode()))], np.int64)
-            out.append((ids.astype("<i4"), log_p, value, inclusion))
-        return out
+        return [self._result(chunk, lat.cost[choice], lat.piece[choice], value, log_z, threshold) for chunk, choice, value in search.walks]
+
+    def _result(self, chunk: np.ndarray, cost: np.ndarray, piece: np.ndarray, value: float, log_z: float, threshold: float) -> tuple[list[int], float, float, float]:
+        log_p = float(cost.sum()) - log_z
+        inclusion = 1.0 if threshold == -np.inf else float(-np.expm1(-np.exp(min(log_p - threshold, 50.0))))
+        ids = piece[np.lexsort((-np.arange(len(piece)), chunk))]
+        if (ids < 0).any():
+            v = self.lattices.v
+            ids = np.array([x for i in ids.tolist() for x in ((i,) if i >= 0 else (v.byte_id[b] for b in chr(-1 - i).encode()))], np.int64)
+        return ids.astype("<i4"), log_p, value, inclusion
 
 
 def decode(ids, v: Vocabulary) -> str:
@@ -313,7 +383,8 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 2,
     a sample and all k are one without replacement; inclusion is the chance to be above the (k+1)-th value. The
     noise comes from the row's key and the seed: repeated rows get the same ones, in any partitioning. A text with
     fewer segmentations gives as many rows; null and empty texts have the empty one. round_trip tells whether the
-    ids decode to the text. packed gives ids as little-endian 32-bit numbers. An empty table gives no rows.
+    ids decode to the text. No length is too long, but a chunk, a run of text without a space or line break, has its
+    lattice in memory as a whole. packed gives ids as little-endian 32-bit numbers. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("out"), F.col(key).alias("key"), F.col(text).alias("text"))

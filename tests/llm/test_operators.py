@@ -398,3 +398,15 @@ def test_encode_round_trip(spark, vocabulary):
         by.setdefault(r.doc_id, []).append(tuple(r.ids))
     assert len(set(by[6])) == 2 and len(by[6]) == 4 and len(by[1]) == 1
     assert segmenting.encode(docs_of(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_a_text_of_any_length(vocabulary, monkeypatch):
+    texts = [" ".join(f"{prose(3, i)}\n日本語{i} 🙂" for i in range(60)), "then", "one two " * 40 + prose(30, 7), "a" * 300]
+    want = segmenting.Sampler(vocabulary, 4, 0).sample(texts, [1, 2, 3, 4])
+    monkeypatch.setattr(segmenting, "REMEMBERED", 40)
+    sampler = segmenting.Sampler(vocabulary, 4, 0)
+    got = sampler.sample(texts, [1, 2, 3, 4])
+    for text, a, b in zip(texts, want, got, strict=True):
+        assert [x[0].tolist() for x in a] == [x[0].tolist() for x in b] and len(b) == 4
+        assert [v for x in a for v in x[1:]] == pytest.approx([v for x in b for v in x[1:]], abs=1e-6)
+        assert all(segmenting.decode(x[0].tolist(), sampler.lattices.v) == text for x in b)
