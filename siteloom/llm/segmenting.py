@@ -3,9 +3,10 @@
 A text is cut where no piece can cross (before a run of spaces, at characters of no piece), so its lattice is a
 chain of small ones. Going through a chunk's lattice from its end, a piece is chosen with the share of all
 segmentations that go on with it; that is the tree in which a search with perturbed bounds works. The best
-segmentation is the walk from the root with the root's Gumbel value. Every step leaves the pieces that it didn't take as one
-node, whose best perturbed value is a Gumbel value of that node's mass, truncated at the parent's; the search
-takes the node with the highest value next, chooses within it and walks on. So exactly the segmentations with the
+segmentation is the walk from the root with the root's Gumbel value. What a walk didn't
+take at its steps is open: its best perturbed value is a Gumbel value of the open mass, truncated at the value
+before; the search takes the walk with the highest such value next, chooses the step and the piece by their shares
+of that mass and walks on. So exactly the segmentations with the
 k highest perturbed log-probabilities come out, in order, and no other is ever expanded. A text whose chunks are more
 than is remembered is walked group by group of chunks, with the same outcome.
 """
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 SPACE = "▁"
-#: Lattice nodes that a worker remembers, besides the last chunk's.
-REMEMBERED = 800_000
+#: What stands for a "▁" of the text itself, which is given as bytes: no text holds a lone surrogate.
+OWN_SPACE = "\ud800"
+#: Lattice nodes that a worker remembers, besides the last chunk's, and characters whose lattices are built at once.
+REMEMBERED, BUILT_AT_ONCE = 1_500_000, 60_000
 #: Texts that are sampled at once, fewer if their chunks don't fit in what is remembered.
 AT_ONCE = 32
 #: What a score of a byte-pair vocabulary, minus the rank of the piece, is taken as: the log of a Zipf share.
@@ -51,7 +54,7 @@ class Vocabulary:
         scores = np.array([model.get_score(i) for i in range(n)])
         usable = [i for i in range(n) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.bytes_of: list[bytes] = [b""] * n
-        self.byte_id = [-1] * 256
+        self.byte_id = np.full(256, -1, np.int64)
         self.ids: dict[str, int] = {}
         for i in usable:
             piece = model.id_to_piece(i)
@@ -62,151 +65,333 @@ class Vocabulary:
                 self.ids[piece], self.bytes_of[i] = i, piece.replace(SPACE, " ").encode()
         if scores[usable].min() < -1000:  # ranks
             scores = -ZIPF * np.log(2.0 - np.minimum(scores, 0))
-        self.score = (scores - np.log(np.exp(scores[usable]).sum())).tolist()
+        self.score = scores - np.log(np.exp(scores[usable]).sum())
         self.longest = max(map(len, self.ids), default=1)
+        self.trie = Trie(self.ids)
         inside = {c for p in self.ids if len(p) > 1 for c in p}
         lone = "".join(sorted(c for c in ("\n", "\t", "\r", *map(chr, range(0x20))) if c not in inside))
         self.chunk = re.compile(f"[{re.escape(lone)}]|{SPACE}*[^{SPACE}{re.escape(lone)}]+|{SPACE}+", re.S)
 
+    def chunks(self, text: str) -> list[str]:
+        """The text, with a space put in front, in parts that no piece crosses; none of an empty text."""
+        return self.chunk.findall(SPACE + text.replace(SPACE, OWN_SPACE).replace(" ", SPACE)) if text else []
+
+    def in_bytes(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of characters: how many bytes each has, their ids one after the other, and each one's log-probability."""
+        raw = np.frombuffer(codes.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
+        ids, first = self.byte_id[raw], np.flatnonzero((raw & 0xC0) != 0x80)
+        return np.diff(first, append=len(raw)), ids, np.add.reduceat(self.score[ids], first) if len(first) else np.empty(0)
+
+
+class Trie:
+    """The pieces as a trie, walked for many places at once; its steps are in an open hash table."""
+
+    ROOM = 1 << 20
+
+    def __init__(self, ids: dict[str, int]):
+        nodes: dict[tuple[int, str], int] = {}
+        piece = [-1]
+        for p, i in ids.items():
+            at = 0
+            for c in p:
+                to = nodes.setdefault((at, c), len(piece))
+                if to == len(piece):
+                    piece.append(-1)
+                at = to
+            piece[at] = i
+        self.piece = np.array(piece, np.int64)
+        self.bits = max(self.ROOM, 1 << (8 * len(nodes)).bit_length()).bit_length() - 1
+        self.key, self.to = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, -1, np.int64)
+        keys = self._keys(np.array([a for a, _ in nodes], np.int64), np.array([ord(c) for _, c in nodes], np.int64))
+        for k, slot, to in zip(keys.tolist(), self._slots(keys).tolist(), nodes.values(), strict=True):
+            while self.key[slot] >= 0:
+                slot = (slot + 1) % len(self.key)
+            self.key[slot], self.to[slot] = k, to
+
+    @staticmethod
+    def _keys(node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        return (node << 21) | code
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The node after one more character, -1 where no piece goes on."""
+        keys = self._keys(node, code)
+        slots = self._slots(keys)
+        found = self.key[slots]
+        out = self.to[slots]
+        out[found != keys] = -1
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) % len(self.key)
+            found = self.key[slots[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.to[slots[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+class _Roots(dict):
+    """The node at each chunk's end; a new chunk gets minus 1 minus its place in new."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        self[chunk] = at = -len(self.new)
+        return at
+
+
 class Lattices:
     """The lattices of chunks as flat arrays: each (chunk, position) is a node with choices of the last piece."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
+        # Room for what is remembered, which takes no memory before it is used; what is longer gets more.
+        nodes, choices = REMEMBERED + BUILT_AT_ONCE, 4 * (REMEMBERED + BUILT_AT_ONCE)
+        self.mass = np.zeros(nodes)  # log of all segmentations up to a node
+        self.first = np.zeros(nodes + 1, np.int64)  # choices of a node: first[node] to first[node + 1]
+        self.cdf = np.zeros(choices)  # share of a node's choices up to this one, without end at the last
+        self.to = np.zeros(choices, np.int32)  # the node that a choice goes on at; -1 at the start
+        self.log_share = np.zeros(choices)
+        self.piece = np.zeros(choices, np.int32)  # a piece, or minus 1 minus a character to be given as bytes
         self.clear()
 
     def clear(self) -> None:
-        self.root: dict[str, int] = {}  # the node at a chunk's end
+        self.root = _Roots()
         self.nodes = self.choices = 0
-        self.mass = np.zeros(1 << 12)  # log of all segmentations up to a node
-        self.first = np.zeros(1 << 12, np.int64)  # choices of a node: first[node] to first[node + 1]
-        self.cdf = np.full(1 << 13, np.inf)  # node + share of its choices up to this one
-        self.to = np.zeros(1 << 13, np.int64)  # the node that a choice goes on at; -1 at the start
-        self.log_share, self.cost = np.zeros(1 << 13), np.zeros(1 << 13)
-        self.piece = np.zeros(1 << 13, np.int64)  # a piece, or minus 1 minus a character to be given as bytes
 
     def _room(self, nodes: int, choices: int) -> None:
-        for name, need in (*((n, self.nodes + nodes + 1) for n in ("mass", "first")), *((n, self.choices + choices) for n in ("cdf", "to", "log_share", "cost", "piece"))):
+        for name, need in (*((n, self.nodes + nodes + 1) for n in ("mass", "first")), *((n, self.choices + choices) for n in ("cdf", "to", "log_share", "piece"))):
             old = getattr(self, name)
             if len(old) < need:
-                new = np.full(2 * need, np.inf) if name == "cdf" else np.zeros(2 * need, old.dtype)
+                new = np.zeros(need + need // 2, old.dtype)
                 new[: len(old)] = old
                 setattr(self, name, new)
 
-    def add(self, chunk: str) -> int:
-        """The node at the end of a chunk's lattice."""
-        if self.nodes > REMEMBERED:
-            raise OverflowError
-        v, base, ids, score, longest = self.v, self.nodes, self.v.ids, self.v.score, self.v.longest
-        alpha, first, cdf, to, shares, costs, pieces = [0.0], [], [], [], [], [], []
-        for e in range(1, len(chunk) + 1):
-            found = []
-            for s in range(max(0, e - longest), e):
-                i = ids.get(chunk[s:e])
-                if i is not None:
-                    found.append((alpha[s] + score[i], s, score[i], i))
-            if (c := chunk[e - 1]) not in ids:
-                own = sum(score[v.byte_id[x]] for x in c.encode())
-                found.append((alpha[e - 1] + own, e - 1, own, -1 - ord(c)))
-            found.sort(reverse=True)
-            top = found[0][0]
-            total = top + math.log(sum(math.exp(f[0] - top) for f in found)) if len(found) > 1 else top
-            node, run = base + e - 1, 0.0
-            for a, s, own, i in found:
-                run += math.exp(a - total)
-                cdf.append(node + min(run, 1.0))
-                to.append(base + s - 1 if s else -1)
-                shares.append(min(a - total, 0.0))
-                costs.append(own)
-                pieces.append(i)
-            cdf[-1] = node + 1.0
-            alpha.append(total)
-            first.append(self.choices + len(cdf))
-        self._room(len(chunk), len(cdf))
-        n, m = slice(base, base + len(chunk)), slice(self.choices, self.choices + len(cdf))
-        self.mass[n], self.first[base + 1 : base + 1 + len(chunk)] = alpha[1:], first
-        self.cdf[m], self.to[m], self.log_share[m], self.cost[m], self.piece[m] = cdf, to, shares, costs, pieces
-        self.nodes, self.choices = n.stop, m.stop
-        self.root[chunk] = node
-        return node
-
-
-def _uniform(*keys) -> np.ndarray:
-    """Numbers in (0, 1) from whole-number keys, by a mixing hash; equal keys give equal numbers."""
-    with np.errstate(over="ignore"):
-        x = np.uint64(0x9E3779B97F4A7C15)
-        for k in keys:
-            x = (x ^ np.asarray(k).astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-            x = x ^ (x >> np.uint64(32))
+    def find(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """The end nodes of each text's chunks, built where they are new; OverflowError if that is too much to remember."""
+        root = self.root
+        found = [np.fromiter(map(root.__getitem__, chunks), np.int64, len(chunks)) for chunks in texts]
+        new, at, ends = root.new, 0, []
+        while at < len(new):
+            if self.nodes > REMEMBERED:
+                raise OverflowError
+            end, size = at, 0
+            while end < len(new) and (end == at or size + len(new[end]) <= BUILT_AT_ONCE):
+                size += len(new[end])
+                end += 1
+            ends.append(self._build(new[at:end]))
+            at = end
+        if new:
+            ends = np.concatenate(ends)
+            root.update(zip(new, ends.tolist(), strict=True))
+            root.new = []
+            found = [np.where(f < 0, ends[np.maximum(-1 - f, 0)], f) for f in found]
+        return found
+
+    def _edges(self, code: np.ndarray, end: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(start, piece) of every piece in the chunks and of every character that is none, by ascending length."""
+        trie, at, state, found = self.v.trie, np.arange(len(code)), np.zeros(len(code), np.int64), []
+        for n in range(1, self.v.longest + 1):
+            state = trie.step(state, code[at + n - 1])
+            piece = trie.piece[state]
+            piece[state < 0] = -1
+            has = piece >= 0
+            found.append((at[has], piece[has]) if n > 1 else (at, np.where(has, piece, -1 - code)))
+            on = (state >= 0) & (at + n < end[at])
+            at, state = at[on], state[on]
+            if not len(at):
+                break
+        return found
+
+    def _build(self, chunks: list[str]) -> np.ndarray:
+        """The end nodes of new chunks."""
+        code = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        n, sizes = len(code), np.fromiter(map(len, chunks), np.int64, len(chunks))
+        ends = np.cumsum(sizes)
+        offset = np.arange(n) - np.repeat(ends - sizes, sizes)
+        found = self._edges(code, np.repeat(ends, sizes))
+        # By the node that they end at; longer ones first, as they are mostly the likelier.
+        count = np.zeros(n, np.int64)
+        for k, (at, _) in enumerate(found):
+            count[at + k] += 1
+        first = np.cumsum(count) - count
+        start, piece, last = np.empty(int(count.sum()), np.int64), np.empty(int(count.sum()), np.int64), first + count
+        for k, (at, which) in enumerate(found):
+            last[at + k] -= 1
+            own = last[at + k]
+            start[own], piece[own] = at, which
+        node = np.repeat(np.arange(n), count)
+        piece[piece == -1 - ord(OWN_SPACE)] = -1 - ord(SPACE)
+        cost = self.v.score[np.maximum(piece, 0)]
+        lone = np.flatnonzero(piece < 0)
+        if len(lone):
+            cost[lone] = self.v.in_bytes(-1 - piece[lone])[2]
+        before = np.where(offset[start] > 0, start - 1, n)
+        # Masses from offset to offset, all chunks at once.
+        by_offset = np.argsort(narrow(offset), kind="stable")
+        counts = count[by_offset]
+        starts = np.cumsum(counts) - counts
+        edges = np.repeat(first[by_offset] - starts, counts) + np.arange(len(node))
+        before_, cost_, value = before[edges], cost[edges], np.empty(len(edges))
+        mass = np.zeros(n + 1)
+        level = np.concatenate([[0], np.cumsum(np.bincount(offset))])
+        edge_level = np.append(starts, len(edges))[level]
+        for a, b, x, y in zip(level[:-1].tolist(), level[1:].tolist(), edge_level[:-1].tolist(), edge_level[1:].tolist(), strict=True):
+            v = mass[before_[x:y]] + cost_[x:y]
+            own = starts[a:b] - x
+            top = np.maximum.reduceat(v, own)
+            mass[by_offset[a:b]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, counts[a:b])), own))
+            value[x:y] = v
+        share = np.empty(len(edges))
+        share[edges] = value
+        share = np.minimum(share - mass[node], 0.0)
+        run = np.exp(share)
+        more = np.flatnonzero(count > 1)
+        for k in range(1, int(count.max(initial=0))):
+            run[first[more] + k] += run[first[more] + k - 1]
+            more = more[count[more] > k + 1]
+        run[first + count - 1] = np.inf
+        self._room(n, len(edges))
+        base, m = self.nodes, slice(self.choices, self.choices + len(edges))
+        self.mass[base : base + n], self.first[base + 1 : base + n + 1] = mass[:n], self.choices + first + count
+        self.cdf[m], self.log_share[m], self.piece[m] = run, share, piece
+        self.to[m] = np.where(before < n, base + before, -1)
+        self.nodes, self.choices = base + n, m.stop
+        return base + ends - 1
+
+    def pick(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The choice of each node whose part of (0, 1) holds u."""
+        choice = self.first[nodes]
+        past = np.flatnonzero(self.cdf[choice] < u)
+        while len(past):
+            choice[past] += 1
+            past = past[self.cdf[choice[past]] < u[past]]
+        return choice
+
+
+def narrow(x: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in few bytes, so that sorting them is cheap."""
+    return x.astype(np.uint16) if len(x) and x.max() < 1 << 16 else x
+
+
+MASK = (1 << 64) - 1
+
+
+def stream(*keys: int) -> int:
+    """A 64-bit number from whole-number keys."""
+    x = 0x9E3779B97F4A7C15
+    for k in keys:
+        x = (x ^ (k & MASK)) * 0xBF58476D1CE4E5B9 & MASK
+        x = (x ^ (x >> 29)) * 0x94D049BB133111EB & MASK
+        x ^= x >> 32
+    return x
+
+
+def uniforms(streams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1), one of each stream at its place."""
+    x = (streams ^ at.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
     return ((x >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
 
 
-def truncated(location: np.ndarray, top: float, u: np.ndarray) -> np.ndarray:
-    """Gumbel values at a location, given that they are below top."""
-    return -np.logaddexp(-top, np.log(-np.log(u)) - location)
+def uniform(*keys: int) -> float:
+    """A number in (0, 1) from whole-number keys; equal keys give equal numbers."""
+    return ((stream(*keys) >> 11) + 0.5) / float(1 << 53)
+
+
+def truncated(location: float, top: float, u: float) -> float:
+    """A Gumbel value at a location, given that it is below top."""
+    return -float(np.logaddexp(-top, math.log(-math.log(u)) - location))
+
+
+class _Open:
+    """What a walk left open: at each step from one on, the choices that no walk took.
+
+    The highest perturbed value in it is a Gumbel value of all its mass, truncated at the value before; the step
+    that it belongs to has the step's share of that mass, so only the one that is taken is ever told apart.
+    """
+
+    def __init__(self, since: int, share: np.ndarray):
+        self.since, self.taken = since, {}
+        self.before = float(share[:since].sum())
+        own = share[since:]
+        ahead = np.cumsum(own) - own
+        # Masses beside that of the first step; what lies 700 below has none that a number could hold.
+        n = int(np.searchsorted(-ahead, 700.0))
+        self.mass = np.exp(ahead[:n]) * -np.expm1(own[:n])
+        self.ahead, self.top = ahead, -math.inf
+
+    def draw(self, below: float, u: float) -> None:
+        """The highest value that is left, given that it is below another."""
+        left = float(self.mass.sum())
+        self.top = truncated(self.before + math.log(left), below, u) if left > 1e-300 else -math.inf
 
 
 class _Search:
     """One text's search: the walks so far, and what each left open."""
 
     def __init__(self, key: int, roots: np.ndarray, seed: int, lattices: Lattices):
-        self.key, self.roots, self.seed, self.lat = np.uint64(key), roots, seed, lattices
+        self.key, self.roots, self.seed, self.lat = key, roots, seed, lattices
         self.walks: list[tuple[np.ndarray, np.ndarray, float]] = []  # chunk and choice of each step, perturbed value
-        self.shares: list[np.ndarray] = []  # log-share of each step's choice
-        self.open: list[tuple[int, np.ndarray, dict]] = []  # first step, best value of what each step left, taken by step
+        self.open: list[_Open] = []
 
     def load(self, chunk: int) -> None:
         """Make the choices of a chunk's steps those of the lattices; here they always are."""
 
+    def u(self, use: int) -> float:
+        return uniform(self.key, self.seed, len(self.walks), use)
+
     def record(self, chunk: np.ndarray, choice: np.ndarray, value: float, since: int, share: np.ndarray) -> None:
-        turn = len(self.walks)
+        """share: log-share of each step's choice."""
+        left = _Open(since, share)
+        left.draw(value, self.u(2))
         self.walks.append((chunk, choice, value))
-        self.shares.append(share)
-        before, own = (np.cumsum(share) - share)[since:], share[since:]
-        rest = -np.expm1(own)
-        u = _uniform(self.key, self.seed, turn, np.arange(since, len(choice)), 2)
-        with np.errstate(divide="ignore"):
-            self.open.append((since, np.where(rest > 1e-15, truncated(before + np.log(rest), value, u), -np.inf), {}))
+        self.open.append(left)
 
     def bound(self) -> tuple[float, int]:
         """The highest perturbed value that is open, and in which walk's steps."""
-        return max(((float(g.max()), n) for n, (_, g, _) in enumerate(self.open) if len(g)), default=(-np.inf, -1))
-
-    def turn(self, value: float, n: int) -> tuple[int, int, int, np.ndarray, np.ndarray]:
-        """Take the open node with that value: (walk, step, choice), and the nodes and chunks that are walked next."""
-        step, pick, c, node = self.branch(value, n)
-        ahead = [node] if node >= 0 else []
-        return n, step, pick, np.array([*ahead, *self.roots[c + 1 :]], np.int64), np.array([*[c] * len(ahead), *range(c + 1, len(self.roots))], np.int64)
-
-    def branch(self, value: float, n: int) -> tuple[int, int, int, int]:
-        """Take the open node with that value: (step, choice, chunk), and the node in it that comes next, or -1."""
-        lat = self.lat
-        since, g, taken = self.open[n]
-        j = int(g.argmax())
-        step = since + j
+        return max(((o.top, n) for n, o in enumerate(self.open)), default=(-math.inf, -1))
+
+    def turn(self, n: int) -> tuple[int, int, int, np.ndarray, np.ndarray]:
+        """Take the highest value that a walk left open: (walk, step, choice), and the nodes and chunks that are walked next."""
+        step, pick, c, node = self.branch(n)
+        after = np.arange(c if node >= 0 else c + 1, len(self.roots))
+        nodes = self.roots[after]
+        if node >= 0:
+            nodes[0] = node
+        return n, step, pick, nodes, after
+
+    def branch(self, n: int) -> tuple[int, int, int, int]:
+        """Take the highest value that a walk left open: (step, choice, chunk), and the node in it that comes next, or -1."""
+        lat, left = self.lat, self.open[n]
+        run = np.cumsum(left.mass)
+        j = min(int(np.searchsorted(run, self.u(5) * run[-1])), len(run) - 1)
+        step = left.since + j
         chunk, choice, _ = self.walks[n]
         c = int(chunk[step])
         self.load(c)
         node = int(np.searchsorted(lat.first[: lat.nodes + 1], choice[step], "right")) - 1
-        own = taken.setdefault(j, {int(choice[step])})
-        left = np.array([c for c in range(lat.first[node], lat.first[node + 1]) if c not in own])
-        share = np.exp(lat.log_share[left])
-        u = float(_uniform(self.key, self.seed, len(self.walks), step, 3))
-        pick = int(left[min(int(np.searchsorted(np.cumsum(share), u * share.sum())), len(left) - 1)])
+        own = left.taken.setdefault(j, {int(choice[step])})
+        others = np.array([c for c in range(lat.first[node], lat.first[node + 1]) if c not in own])
+        share = np.exp(lat.log_share[others])
+        pick = int(others[min(int(np.searchsorted(np.cumsum(share), self.u(3) * share.sum())), len(others) - 1)])
         own.add(pick)
         still = float(share.sum() - np.exp(lat.log_share[pick]))
-        if len(left) > 1 and still > 1e-15:
-            before = float(self.shares[n][:step].sum())
-            g[j] = truncated(np.array([before + math.log(still)]), value, _uniform(self.key, self.seed, len(self.walks), np.array([step]), 4))[0]
-        else:
-            g[j] = -np.inf
+        left.mass[j] = math.exp(left.ahead[j]) * still if len(others) > 1 and still > 1e-15 else 0.0
+        left.draw(left.top, self.u(4))
         return step, pick, c, int(lat.to[pick])
 
 
@@ -219,28 +404,28 @@ class _LongSearch(_Search):
 
     def load(self, chunk: int) -> None:
         self.lat.clear()
-        self.lat.add(self.chunks[chunk])
+        self.lat.find([[self.chunks[chunk]]])
 
     def groups(self, start: int, ahead: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Chunks from start on whose lattices are held together: (place, node, first choice of its chunk) of each.
 
         Nodes are the chunks' ends, but for the first one's if ahead is a node.
         """
-        lat, rows = self.lat, []
-        lat.clear()
-        for c in range(start, len(self.chunks)):
-            chunk = self.chunks[c]
-            root = lat.root.get(chunk)
-            if root is None:
-                if lat.nodes > REMEMBERED:
-                    yield tuple(np.array(rows, np.int64).T)
-                    rows = []
-                    lat.clear()
-                root = lat.add(chunk)
-            first = root - len(chunk) + 1
-            rows.append((c, first + ahead if c == start and ahead >= 0 else root, lat.first[first]))
-        if rows:
-            yield tuple(np.array(rows, np.int64).T)
+        lat, at = self.lat, start
+        while at < len(self.chunks):
+            lat.clear()
+            end, new, size = at, set(), 0
+            while end < len(self.chunks) and (end == at or size + len(self.chunks[end]) <= REMEMBERED):
+                if self.chunks[end] not in new:
+                    new.add(self.chunks[end])
+                    size += len(self.chunks[end])
+                end += 1
+            node = lat.find([self.chunks[at:end]])[0]
+            first = node - np.array([len(c) for c in self.chunks[at:end]], np.int64) + 1
+            if at == start and ahead >= 0:
+                node[0] = first[0] + ahead
+            yield np.arange(at, end), node, lat.first[first]
+            at = end
 
 
 class Sampler:
@@ -249,53 +434,48 @@ class Sampler:
     def __init__(self, path: str, k: int, seed: int):
         self.lattices, self.k, self.seed = Lattices(vocabulary(path)), k, seed
 
-    def roots(self, texts: list[str]) -> list[np.ndarray]:
-        """The chunks' nodes of each text."""
-        lat = self.lattices
-        find, known, add = lat.v.chunk.findall, lat.root.get, lat.add
-        return [np.array([n if (n := known(c)) is not None else add(c) for c in find(SPACE + t.replace(" ", SPACE))] if t else [], np.int64) for t in texts]
-
-    def walk(self, nodes: np.ndarray, key: np.ndarray, place: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    def walk(self, nodes: np.ndarray, streams: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Choices from each node to the start of its chunk: (which of nodes, choice), by node, then step."""
         lat = self.lattices
-        cdf, which, now, got = lat.cdf[: lat.choices], np.arange(len(nodes)), nodes, []
+        which, now, got = np.arange(len(nodes)), nodes, []
         step = 0
         while len(now):
-            u = _uniform(key[which], self.seed, turn, place[which], step, 1)
-            choice = np.minimum(np.searchsorted(cdf, now + u, "left"), lat.first[now + 1] - 1)
+            choice = lat.pick(now, uniforms(streams[which], (place[which] << 24) + step))
             got.append((which, choice))
-            now = lat.to[choice]
+            now = lat.to[choice].astype(np.int64)
             on = now >= 0
             which, now, step = which[on], now[on], step + 1
         if not got:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         which, choice = (np.concatenate(x) for x in zip(*got, strict=True))
-        order = np.argsort(which, kind="stable")
+        order = np.argsort(narrow(which), kind="stable")
         return which[order], choice[order]
 
     def sample(self, texts: list[str], keys: list[int]) -> list[list[tuple[list[int], float, float, float]]]:
         """For each text its k best (ids, log-probability, perturbed value, inclusion score), or all if it has fewer."""
+        lat = self.lattices
+        chunks = list(map(lat.v.chunks, texts))
         try:
-            roots = self.roots(texts)
+            roots = lat.find(chunks)
         except OverflowError:
-            self.lattices.clear()
+            lat.clear()
             try:
-                roots = self.roots(texts)
+                roots = lat.find(chunks)
             except OverflowError:  # one batch holds more than is remembered
+                lat.clear()
                 if len(texts) == 1:
                     return [self._long(texts[0], keys[0])]
                 half = len(texts) // 2
                 return self.sample(texts[:half], keys[:half]) + self.sample(texts[half:], keys[half:])
-        lat = self.lattices
-        searches = [_Search(k % (1 << 64), r, self.seed, lat) for k, r in zip(keys, roots, strict=True)]
-        start = _uniform(np.array([s.key for s in searches], np.uint64), self.seed, 0)
-        todo = [(i, (np.empty(0, np.int64),) * 2, 0, float(-math.log(-math.log(u))), r, np.arange(len(r))) for i, (u, r) in enumerate(zip(start, roots, strict=True))]
+        searches = [_Search(k, r, self.seed, lat) for k, r in zip(keys, roots, strict=True)]
+        none = np.empty(0, np.int64)
+        todo = [(i, (none, none), 0, self._start(k), r, np.arange(len(r))) for i, (k, r) in enumerate(zip(keys, roots, strict=True))]
         for turn in range(self.k):
             sizes = [len(t[4]) for t in todo]
             at = np.repeat(np.arange(len(todo)), sizes)
-            key = np.array([searches[t[0]].key for t in todo], np.uint64)
-            place = np.concatenate([*(t[5] for t in todo), np.empty(0, np.int64)])
-            which, choice = self.walk(np.concatenate([*(t[4] for t in todo), np.empty(0, np.int64)]), key[at], place, turn)
+            streams = np.array([stream(keys[t[0]], self.seed, turn, 1) for t in todo], np.uint64)
+            place = np.concatenate([*(t[5] for t in todo), none])
+            which, choice = self.walk(np.concatenate([*(t[4] for t in todo), none]), streams[at], place)
             edges = np.searchsorted(at[which], np.arange(len(todo) + 1))
             following = []
             for n, (i, (chunk0, choice0), since, value, _, _) in enumerate(todo):
@@ -305,24 +485,28 @@ class Sampler:
                 search.record(np.concatenate([chunk0, place[which[own]]]), taken, value, since, lat.log_share[taken])
                 value, open_ = search.bound()
                 if turn < self.k - 1 and value > -np.inf:
-                    walk, step, pick, nodes, chunks = search.turn(value, open_)
+                    walk, step, pick, nodes, chunks = search.turn(open_)
                     chunk, taken, _ = search.walks[walk]
                     following.append((i, (chunk[: step + 1], np.append(taken[:step], pick)), step + 1, value, nodes, chunks))
             todo = following
         return [self._results(s) for s in searches]
 
+    def _start(self, key: int) -> float:
+        """The perturbed value of the best segmentation: a Gumbel value of the whole lattice."""
+        return -math.log(-math.log(uniform(key, self.seed, 0, 0)))
+
     def _long(self, text: str, key: int) -> list[tuple[list[int], float, float, float]]:
         """What sample() gives for a text whose chunks don't fit in what is remembered."""
         lat = self.lattices
-        search = _LongSearch(key % (1 << 64), lat.v.chunk.findall(SPACE + text.replace(" ", SPACE)), self.seed, lat)
-        value = float(-math.log(-math.log(_uniform(np.array([search.key], np.uint64), self.seed, 0)[0])))
-        before = [np.empty(0, t) for t in (np.int64, np.int64, float, float, np.int64)]
-        steps, log_z, since, start, ahead = [], 0.0, 0, 0, -1  # steps: chunk, choice, log-share, cost and piece of each
+        search = _LongSearch(key, lat.v.chunks(text), self.seed, lat)
+        value = self._start(key)
+        before = [np.empty(0, t) for t in (np.int64, np.int64, float, np.int32)]
+        steps, log_z, since, start, ahead = [], 0.0, 0, 0, -1  # steps: chunk, choice, log-share and piece of each
         for turn in range(self.k):
             parts = [before]
             for place, nodes, first in search.groups(start, ahead):
-                which, choice = self.walk(nodes, np.full(len(nodes), search.key), place, turn)
-                parts.append([place[which], choice - first[which], lat.log_share[choice], lat.cost[choice], lat.piece[choice]])
+                which, choice = self.walk(nodes, np.full(len(nodes), stream(key, self.seed, turn, 1), np.uint64), place)
+                parts.append([place[which], choice - first[which], lat.log_share[choice], lat.piece[choice]])
                 if turn == 0:
                     log_z += float(lat.mass[nodes].sum())
             steps.append([np.concatenate(x) for x in zip(*parts, strict=True)])
@@ -330,30 +514,48 @@ class Sampler:
             value, walk = search.bound()
             if turn == self.k - 1 or value == -np.inf:
                 break
-            step, pick, start, ahead = search.branch(value, walk)
-            before = [np.append(x[:step], x_) for x, x_ in zip(steps[walk], (start, pick, lat.log_share[pick], lat.cost[pick], lat.piece[pick]), strict=True)]
+            step, pick, start, ahead = search.branch(walk)
+            before = [np.append(x[:step], x_) for x, x_ in zip(steps[walk], (start, pick, lat.log_share[pick], lat.piece[pick]), strict=True)]
             since, start = step + 1, start if ahead >= 0 else start + 1
         threshold = search.bound()[0]
-        return [self._result(chunk, cost, piece, value, log_z, threshold) for (chunk, _, _, cost, piece), (_, _, value) in zip(steps, search.walks, strict=True)]
+        return [self._result(chunk, piece, value, log_z, threshold) for (chunk, _, _, piece), (_, _, value) in zip(steps, search.walks, strict=True)]
 
     def _results(self, search: _Search) -> list[tuple[list[int], float, float, float]]:
         lat, threshold = self.lattices, search.bound()[0]
         log_z = float(lat.mass[search.roots].sum()) if len(search.roots) else 0.0
-        return [self._result(chunk, lat.cost[choice], lat.piece[choice], value, log_z, threshold) for chunk, choice, value in search.walks]
+        return [self._result(chunk, lat.piece[choice], value, log_z, threshold) for chunk, choice, value in search.walks]
 
-    def _result(self, chunk: np.ndarray, cost: np.ndarray, piece: np.ndarray, value: float, log_z: float, threshold: float) -> tuple[list[int], float, float, float]:
+    def _result(self, chunk: np.ndarray, piece: np.ndarray, value: float, log_z: float, threshold: float) -> tuple[np.ndarray, float, float, float]:
+        v, cost = self.lattices.v, self.lattices.v.score[np.maximum(piece, 0)]
+        lone = np.flatnonzero(piece < 0)
+        if len(lone):
+            cost[lone] = v.in_bytes(-1 - piece[lone])[2]
         log_p = float(cost.sum()) - log_z
         inclusion = 1.0 if threshold == -np.inf else float(-np.expm1(-np.exp(min(log_p - threshold, 50.0))))
-        ids = piece[np.lexsort((-np.arange(len(piece)), chunk))]
-        if (ids < 0).any():
-            v = self.lattices.v
-            ids = np.array([x for i in ids.tolist() for x in ((i,) if i >= 0 else (v.byte_id[b] for b in chr(-1 - i).encode()))], np.int64)
-        return ids.astype("<i4"), log_p, value, inclusion
+        ids = piece[::-1][np.argsort(narrow(chunk[::-1]), kind="stable")]  # chunks were walked from their ends
+        return self.whole(ids).astype("<i4"), log_p, value, inclusion
+
+    def whole(self, ids: np.ndarray) -> np.ndarray:
+        """The ids with characters that are no piece as those of their bytes."""
+        lone = np.flatnonzero(ids < 0)
+        if not len(lone):
+            return ids
+        counts, own, _ = self.lattices.v.in_bytes(-1 - ids[lone])
+        count = np.ones(len(ids), np.int64)
+        count[lone] = counts
+        out = np.repeat(ids, count)
+        out[np.repeat(ids < 0, count)] = own
+        return out
+
+
+def decoded(ids, v: Vocabulary) -> bytes:
+    """The UTF-8 bytes of a segmentation: pieces and bytes joined, without the space put in front."""
+    return b"".join(map(v.bytes_of.__getitem__, ids))[1:]
 
 
 def decode(ids, v: Vocabulary) -> str:
-    """The text of a segmentation: pieces and bytes joined, without the space put in front."""
-    return b"".join(map(v.bytes_of.__getitem__, ids)).decode("utf-8", "replace")[1:]
+    """The text of a segmentation."""
+    return decoded(ids, v).decode("utf-8", "replace")
 
 
 def _encoded(path: str, k: int, seed: int, packed: bool):
@@ -366,7 +568,8 @@ def _encoded(path: str, k: int, seed: int, packed: bool):
             at = pa.array([i for i, f in enumerate(found) for _ in f])
             flat = [x for f in found for x in f]
             v = sampler.lattices.v
-            back = [decode(x[0].tolist(), v) == texts[i] for i, x in zip(at.to_pylist(), flat, strict=True)]
+            raw = [t.encode() for t in texts]
+            back = [decoded(x[0].tolist(), v) == raw[i] for i, x in zip(at.to_pylist(), flat, strict=True)]
             ids = pa.array([x[0].tobytes() for x in flat], pa.binary()) if packed else pa.array([x[0].tolist() for x in flat], pa.list_(pa.int32()))
             rest = [n for n in batch.schema.names if n not in ("key", "text")]
             yield pa.RecordBatch.from_arrays(
