@@ -1,15 +1,15 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
-The SKETCH smallest hash values of a document's set of shingles, runs of so many words, are retained. Their inverted lists give candidate
-pairs, the union sketch of a pair estimates its similarity and filters, and the exact Jaccard similarity of the
-full sets, taken from the texts, decides.
-
-Two sets with similarity of 0.8 or more share at least SHARED of their SKETCH values but for a chance of about
-2e-6 at 0.8, and far less above it, or 0.8 of them if the sets are smaller than that. A document is therefore listed only under its rarest
-values, so many that two documents which share that much meet in a list (prefix filtering). A long list is
-not expanded into pairs: its members are compared with one member, the hub, and linked documents become one
-component; in further rounds only members of other components than the hub's are compared. At the end the
-members of different components of every list are compared, block against block.
+The SKETCH smallest hash values of a document's set of shingles, runs of so many words, are retained. Two sets with
+similarity of 0.8 or more share at least SHARED of them but for a chance of 4e-10 at 0.8, and far less above it, or
+0.8 of them if the sets are smaller than that. A document is therefore listed only under its rarest values, so many
+that two documents which share that much meet in a list (prefix filtering).
+
+Candidates are pairs of a list whose sizes allow 0.8, with enough overlap and a union sketch that says so. A list gives
+only a spanning forest of them, so its rows grow with its length and not with its square. The components of all
+forests hold every link; within one, the exact Jaccard similarity of the full sets decides, again in blocks that
+give a forest of links. Before that, lists longer than LONG are compared, by full sets, with a few of their members
+(hubs): a large group of copies is one component then, and only pairs of different components go on.
 """
 
 from __future__ import annotations
@@ -24,14 +24,15 @@ from pyspark.sql import functions as F
 
 from .common import components, cut, small_batches, thinned
 
-SKETCH, SHARED = 32, 14
+SKETCH, SHARED = 32, 10
 #: Share of the union sketch that must be common for a pair to be verified; 0.8 is the limit for links.
 ESTIMATE = SHARED / SKETCH
-#: In each round of comparing with a hub, the lists that are longer than this.
-ROUNDS = (3, 3, 8)
-#: At the end, the members of a block, and the lists that are compared by sketches of WIDE values as they are longer
-#: than LONG. Those hold most sets whole, so hardly a pair that is no link is verified.
-BLOCK, LONG, WIDE, WIDE_ESTIMATE = 256, 32, 256, 0.7
+#: Lists longer than LONG are compared with HUBS of their members first, ROUNDS times at most.
+LONG, HUBS, ROUNDS = 512, 4, 2
+#: Members of a list in a block of sketches, and of a component of candidates in a block of full sets.
+BLOCK, WHOLE = 1024, 1024
+#: Sets whose overlaps are counted at once, and values.
+TILE, COLUMNS = 256, 8192
 #: Words whose hash a worker remembers.
 REMEMBERED = 300_000
 
@@ -82,110 +83,165 @@ def _sketches(width: int):
     return run
 
 
-def _wide(width: int):
+class _Joined:
+    """Components of rows 0 to n - 1, known by their least row."""
+
+    def __init__(self, n: int, label: list | None = None):
+        first: dict = {}
+        self.of = list(range(n)) if label is None else [first.setdefault(x, i) for i, x in enumerate(label)]
+
+    def root(self, i: int) -> int:
+        of = self.of
+        while of[i] != i:
+            of[i] = i = of[of[i]]
+        return i
+
+    def roots(self) -> np.ndarray:
+        return np.fromiter(map(self.root, range(len(self.of))), np.int64, len(self.of))
+
+    def join(self, pairs: np.ndarray) -> list[tuple[int, int]]:
+        """Those of the pairs that join two components."""
+        new = []
+        for a, b in pairs.tolist():
+            x, y = self.root(a), self.root(b)
+            if x != y:
+                self.of[max(x, y)] = min(x, y)
+                new.append((a, b))
+        return new
+
+
+def _overlaps(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
+    """How many values each of rows has in common with each of columns; values are distinct within each."""
+    values, at = np.unique(np.concatenate([*rows, *columns]), return_inverse=True)
+    split = sum(map(len, rows))
+    which = [np.repeat(np.arange(len(x)), list(map(len, x))) for x in (rows, columns)]
+    at = [at[:split], at[split:]]
+    both = np.flatnonzero((np.bincount(at[0], minlength=len(values)) > 0) & (np.bincount(at[1], minlength=len(values)) > 0))
+    place = np.full(len(values), -1)
+    place[both] = np.arange(len(both))
+    out = np.zeros((len(rows), len(columns)), np.float32)
+    at = [place[x] for x in at]
+    for k in range(0, len(both), COLUMNS):
+        tiles = []
+        for x, w, n in zip(at, which, (len(rows), len(columns)), strict=True):
+            own = (x >= k) & (x < k + COLUMNS)
+            tile = np.zeros((n, min(COLUMNS, len(both) - k)), np.float32)
+            tile[w[own], x[own] - k] = 1
+            tiles.append(tile)
+        out += tiles[0] @ tiles[1].T
+    return out
+
+
+def _estimates(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Whether each union sketch of a and b has enough in common. Sketches hold 32 bits of each value."""
+    padded = np.full((2, len(a), SKETCH), np.inf)
+    for k, side in enumerate((a, b)):
+        sizes = np.array([len(x) for x in side])
+        padded[k][np.arange(SKETCH) < sizes[:, None]] = np.concatenate(side)
+    both = np.sort(np.concatenate(list(padded), axis=1), axis=1)
+    again = np.zeros(both.shape, bool)
+    again[:, 1:] = (both[:, 1:] == both[:, :-1]) & np.isfinite(both[:, 1:])
+    distinct = np.cumsum(~again & np.isfinite(both), axis=1)
+    whole = np.array([max(len(x), len(y)) < SKETCH for x, y in zip(a, b, strict=True)])
+    union = np.where(whole, distinct[:, -1], np.minimum(distinct[:, -1], SKETCH))
+    common = (again & (distinct <= union[:, None])).sum(axis=1)
+    return common >= np.where(whole, 0.8 - 1e-9, ESTIMATE) * union
+
+
+def _candidates(rows: list[tuple]) -> list[tuple[int, int]]:
+    """A spanning forest of the candidates among (cid, label, n, sketch, side): alike, of different labels, and of
+    different sides if there are two."""
+    cid, label, n, sketch, side = zip(*rows, strict=True)
+    if len(set(label)) < 2:
+        return []
+    n, side, label = np.array(n), np.array(side), np.array(label)
+    sketch = [np.frombuffer(x, np.uint32) for x in sketch]
+    two, found, joined = len(set(side.tolist())) > 1, [], _Joined(len(rows))
+    for i in range(0, len(rows), TILE):
+        for j in range(i, len(rows), TILE):
+            p, q = slice(i, i + TILE), slice(j, j + TILE)
+            small, large = np.minimum(n[p, None], n[None, q]), np.maximum(n[p, None], n[None, q])
+            may = (10 * small >= 8 * large) & (label[p, None] != label[None, q])
+            if two:
+                may &= side[p, None] != side[None, q]
+            if i == j:
+                may = np.triu(may, 1)
+            if not may.any():
+                continue
+            enough = np.where(large < SKETCH, np.ceil(0.8 * large - 1e-9), SHARED)
+            pairs = np.argwhere(may & (_overlaps(sketch[p], sketch[q]) >= np.minimum(enough, small))) + (i, j)
+            for k in range(0, len(pairs), 4096):
+                root = joined.roots()
+                some = pairs[k : k + 4096]
+                some = some[root[some[:, 0]] != root[some[:, 1]]]
+                if len(some):
+                    found += joined.join(some[_estimates([sketch[x] for x in some[:, 0]], [sketch[x] for x in some[:, 1]])])
+    return [(min(cid[a], cid[b]), max(cid[a], cid[b])) for a, b in found]
+
+
+def _linked_sets(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Pairs of (cid, label, set, side) that are links, of different sides if there are two, and no more of them than
+    join their components; rows of one label are joined already."""
+    rows.sort(key=lambda r: (len(r[2]), r[0]))
+    cid, label, sets, side = zip(*rows, strict=True)
+    n, side, found, joined = np.array(list(map(len, sets))), np.array(side), [], _Joined(len(rows), label)
+    two = len(set(side.tolist())) > 1
+    for i in range(0, len(rows), TILE):
+        for j in range(i, len(rows), TILE):
+            p, q = slice(i, i + TILE), slice(j, j + TILE)
+            if 100 * n[p][-1] < percent * n[j]:
+                break  # sizes ascend: the rest is too large for all of these
+            root = joined.roots()
+            may = (100 * n[p, None] >= percent * n[None, q]) & (root[p, None] != root[None, q])
+            if two:
+                may &= side[p, None] != side[None, q]
+            if i == j:
+                may = np.triu(may, 1)
+            a, b = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+            if not len(a):
+                continue
+            common = _overlaps([sets[i + x] for x in a], [sets[j + x] for x in b]).astype(np.int64)
+            ok = may[np.ix_(a, b)] & (100 * common >= percent * (n[i + a][:, None] + n[j + b][None, :] - common))
+            pairs = np.argwhere(ok)
+            found += joined.join(np.stack([i + a[pairs[:, 0]], j + b[pairs[:, 1]]], axis=1))
+    return [(min(cid[a], cid[b]), max(cid[a], cid[b])) for a, b in found]
+
+
+def _grouped(columns: tuple[str, ...], rows_of, pairs_of):
+    """Pairs (a, b) from each group (v, i, j) of rows, which stand together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        key, held = None, []
         for batch in batches:
-            made = [(shingle_hashes(split_words(t), hashes, width)[:WIDE] >> np.uint64(32)).astype(np.uint32).tobytes() for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["cid"], pa.array(made, pa.binary())], names=["cid", "sketch"])
+            found = []
+            for v, i, j, row in zip(*(batch[c].to_pylist() for c in ("v", "i", "j")), rows_of(*(batch[c].to_pylist() for c in columns)), strict=True):
+                if (v, i, j) != key:
+                    found += pairs_of(held) if len(held) > 1 else []
+                    key, held = (v, i, j), []
+                held.append(row)
+            yield _pairs(found)
+        yield _pairs(pairs_of(held) if len(held) > 1 else [])
     return run
 
 
-def _shingle_set(text: str, width: int) -> set:
-    words = split_words(text)
-    return set(zip(*(words[k:] for k in range(width)))) if len(words) >= width else {tuple(words)}
-
-
-def _verified(percent: int, width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, set()
-        for batch in batches:
-            keep = []
-            for i, (a, x, y) in enumerate(zip(batch["a"].to_pylist(), batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)):
-                if a != last:
-                    last, own = a, _shingle_set(x, width)
-                other = _shingle_set(y, width)
-                common = len(own & other)
-                if 100 * common >= percent * (len(own) + len(other) - common):
-                    keep.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-    return run
-
-
-def _values(sketch: bytes) -> list[int]:
-    return np.frombuffer(sketch, np.uint32).tolist()
-
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-def _alike(a: list[int], b: list[int]) -> bool:
-    """Whether the union sketch of two sketches has enough in common. They hold 32 bits of each value."""
-    common = set(a) & set(b)
-    union = sorted({*a, *b})
-    if max(len(a), len(b)) >= SKETCH:
-        union = union[:SKETCH]
-    return sum(v in common for v in union) >= ESTIMATE * len(union)
 
+def _in_blocks(rows: DataFrame, key: str, size: str, most: int) -> DataFrame:
+    """rows, once for each pair of blocks (i, j) of their group that they belong to, as v, i, j and side.
 
-def _wide_alike(sketches: list[np.ndarray]) -> np.ndarray:
-    """Which pairs of wide sketches have enough in common: exactly for whole sets, by the union sketch for others."""
-    values, at = np.unique(np.concatenate(sketches), return_inverse=True)
-    member = np.zeros((len(sketches), len(values)), np.float32)
-    member[np.repeat(np.arange(len(sketches)), [len(x) for x in sketches]), at] = 1
-    size = np.array([len(x) for x in sketches])
-    common = member @ member.T
-    union = size[:, None] + size[None, :] - common
-    ok = common >= 0.8 * union - 1e-3
-    cut_off = (size[:, None] >= WIDE) | (size[None, :] >= WIDE)
-    for p, q in np.argwhere(np.triu(cut_off & (common >= 0.5 * WIDE), 1)):
-        low = np.union1d(sketches[p], sketches[q])[:WIDE]
-        ok[p, q] = ok[q, p] = member[p, k := np.searchsorted(values, low)] @ member[q, k] >= WIDE_ESTIMATE * len(low)
-    return ok
-
-
-def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = [k for k, (x, y) in enumerate(zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)) if _alike(_values(x), _values(y))]
-        yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-
+    A group of at most so many rows is one block. Rows of one block are compared by the pair of the block with itself.
+    """
+    blocks = F.ceil(F.col(size) / most).cast("int")
+    rows = rows.withColumns({"_blocks": blocks, "_own": F.pmod(F.xxhash64("cid"), blocks).cast("int")})
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    return rows.withColumns({"v": F.col(key), "i": F.least("_own", "_other"), "j": F.greatest("_own", "_other"), "side": F.col("_own")}).drop("_blocks", "_own", "_other")
 
-def _crossing_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-    """Alike pairs of different components among (cid, label, sketch, side, lists); of different sides if there are two.
 
-    Of the lists that hold both, only the one of the smallest value gives a pair. Without lists the sketches are wide.
-    """
-    if len({r[1] for r in rows}) < 2:
-        return
-    sides, lists = len({r[3] for r in rows}), [r[4] and frozenset(_values(r[4])) for r in rows]
-    if lists[0] is None:
-        alike = _wide_alike([np.frombuffer(r[2], np.uint32) for r in rows])
-        label, side = np.array([r[1] for r in rows]), np.array([r[3] for r in rows])
-        cross = np.triu(alike & (label[:, None] != label[None, :]), 1)
-        if sides > 1:
-            cross &= side[:, None] != side[None, :]
-        pairs, own = np.argwhere(cross).tolist(), None
-    else:
-        sketches, own = [_values(r[2]) for r in rows], min(frozenset.intersection(*lists))
-        pairs = [(p, q) for q in range(len(rows)) for p in range(q) if rows[p][1] != rows[q][1] and (sides == 1 or rows[p][3] != rows[q][3])]
-    for p, q in pairs:
-        if own is None or (min(lists[p] & lists[q]) == own and _alike(sketches[p], sketches[q])):
-            yield min(rows[p][0], rows[q][0]), max(rows[p][0], rows[q][0])
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within each (list, block, block), whose rows stand together."""
-    key, rows = None, []
-
-    def batch_of(found):
-        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    for batch in batches:
-        found = []
-        for v, i, j, *row in zip(*(batch[c].to_pylist() for c in ("v", "i", "j", "cid", "label", "sketch", "side", "lists")), strict=True):
-            if (v, i, j) != key:
-                found += _crossing_pairs(rows)
-                key, rows = (v, i, j), []
-            rows.append(tuple(row))
-        yield batch_of(found)
-    yield batch_of([*_crossing_pairs(rows)])
+def _together(rows: DataFrame, run) -> DataFrame:
+    """The pairs that run makes of rows by group (v, i, j)."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "v", "i", "j").sortWithinPartitions("v", "i", "j").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80, width: int = 2) -> DataFrame:
@@ -235,25 +291,15 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     made = cut(rows.mapInArrow(_sketches(width), "doc_id long, text_hash long, n long, digest binary, vs array<long>, sketch binary"))
     classes = cut(
-        made.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("source"), F.first("vs").alias("vs"), F.first("sketch").alias("sketch"))
+        made.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("source"), F.first("n").alias("n"), F.first("vs").alias("vs"), F.first("sketch").alias("sketch"))
     ).withColumn("cid", F.monotonically_increasing_id())
 
     # Lists: only values that two classes retain, of each class its rarest.
-    values = classes.select("cid", F.size("vs").alias("m"), F.explode("vs").alias("v"))
+    values = classes.select("cid", "n", F.size("vs").alias("m"), F.explode("vs").alias("v"))
     shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     need = F.when(F.col("m") < 0.8 * SKETCH, F.ceil(0.8 * F.col("m"))).otherwise(SHARED)
-    rarest = values.join(shared, "v").groupBy("cid", "m").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
-    listed = cut(rarest.withColumn("n", (F.size("vs") - need + 1).cast("int")).where("n > 0").select("cid", F.explode(F.slice("vs", F.lit(1), F.col("n"))["v"]).alias("v")))
-    heads = listed.groupBy("v").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    listed = cut(listed.join(heads, "v"))
-    sketches = classes.select("cid", "sketch")
-
-    def with_both(pairs: DataFrame, of: DataFrame, col: str) -> DataFrame:
-        a, b = of.select(F.col("cid").alias("a"), F.col(col).alias("x")), of.select(F.col("cid").alias("b"), F.col(col).alias("y"))
-        return pairs.join(b, "b").join(a, "a")
-
-    def estimated(pairs: DataFrame) -> DataFrame:
-        return cut(with_both(pairs, sketches, "sketch").mapInArrow(_estimated, "a long, b long"))
+    rarest = values.join(shared, "v").groupBy("cid", "n", "m").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    listed = cut(rarest.withColumn("some", (F.size("vs") - need + 1).cast("int")).where("some > 0").select("cid", "n", F.explode(F.slice("vs", F.lit(1), F.col("some"))["v"]).alias("v")))
 
     def texts_of(ends: DataFrame) -> DataFrame:
         """(cid, text) of some classes."""
@@ -262,46 +308,45 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -
         same = used["doc_id"].eqNullSafe(near["doc_id"]) & (used["text_hash"] == near["text_hash"])
         return near.join(used, same).select("cid", "text").dropDuplicates(["cid"])
 
-    def links(pairs: DataFrame) -> DataFrame:
-        """Those of the estimated pairs that are links, by the texts of their documents."""
-        texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
-        full = with_both(pairs, texts, "text").select("a", "b", "x", "y").sortWithinPartitions("a")
-        return cut(full.mapInArrow(_verified(percent, width), "a long, b long"))
-
-    label = spark.createDataFrame([], "id long, component long")
-    found, open_ = None, listed
-    for turn in range(len(ROUNDS) + 1):
-        marked = open_.select("v", "cid").join(label.withColumnRenamed("id", "cid"), "cid", "left").select("v", "cid", F.coalesce("component", "cid").alias("label"))
-        mixed = marked.groupBy("v").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct(F.xxhash64("cid", F.lit(turn)), "cid", "label")).alias("hub")).where("low < high")
-        open_ = cut(marked.join(mixed.select("v", "size", "hub"), "v"))
-        if turn < len(ROUNDS):
-            hub = F.col("hub.cid")
-            long = open_.where((F.col("size") > ROUNDS[turn]) & (F.col("label") != F.col("hub.label")))
-            pairs = estimated(long.select(F.least(hub, "cid").alias("a"), F.greatest(hub, "cid").alias("b")).distinct())
-        else:
-            short, long = open_.where(F.col("size") <= LONG), open_.where(F.col("size") > LONG)
-            mine = short.groupBy("cid").agg(F.collect_list(F.shiftright("v", 32).cast("int")).alias("vs"))
-            mine = mine.select("cid", F.unhex(F.array_join(F.transform("vs", lambda v: F.lpad(F.hex(v.bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))), 8, "0")), "")).alias("lists"))
-            pairs = _crossing(short, sketches.join(mine, "cid"))
-            if not long.isEmpty():
-                wide = cut(texts_of(long.select("cid").distinct()).mapInArrow(_wide(width), "cid long, sketch binary"))
-                pairs = pairs.unionAll(_crossing(long, wide.withColumn("lists", F.lit(None).cast("binary"))))
-            pairs = cut(pairs.distinct())
-        if pairs.isEmpty():
-            continue
-        more = links(pairs)
-        found = more if found is None else found.unionByName(more)
-        label = cut(components(found))
-
-    whole = classes.join(label.withColumnRenamed("id", "cid"), "cid", "left").select("digest", "first", "source", F.coalesce("component", "cid").alias("label"))
-    return made, whole
-
-
-def _crossing(open_: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of different components within a list whose sketches are alike, block against block."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = open_.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("cid"), blocks).cast("int")}).join(sketches, "cid")
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cid", "label", "sketch", F.col("own").alias("side"), "lists")
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "v", "i", "j").sortWithinPartitions("v", "i", "j").mapInArrow(_blocks, "a long, b long")
+    hashes = _Hashes()  # each task has its own
+
+    def sets(cid: list, label: list, text: list, side: list) -> Iterator[tuple]:
+        return ((c, x, shingle_hashes(split_words(t), hashes, width), y) for c, x, t, y in zip(cid, label, text, side, strict=True))
+
+    links = _grouped(("cid", "label", "text", "side"), sets, lambda held: _linked_sets(held, percent))
+    forest = _grouped(("cid", "label", "n", "sketch", "side"), lambda *columns: zip(*columns, strict=True), _candidates)
+    labels = classes.select("cid", F.col("cid").alias("label"))
+
+    def merged(pairs: DataFrame) -> DataFrame:
+        """labels after more links."""
+        ends = pairs.join(labels.toDF("a", "x"), "a").join(labels.toDF("b", "y"), "b").select("x", "y")
+        now = components(ends, "x", "y").withColumnRenamed("id", "label")
+        return cut(labels.join(now, "label", "left").select("cid", F.coalesce("component", "label").alias("label")))
+
+    def mixed(rows: DataFrame, key: str) -> DataFrame:
+        """Groups that hold more than one component."""
+        return rows.groupBy(key).agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").drop("low", "high")
+
+    for turn in range(ROUNDS):
+        marked = listed.join(labels, "cid")
+        longest = cut(marked.join(mixed(marked, "v").where(F.col("size") > LONG), "v").groupBy("cid", "label").agg(F.max(F.struct("size", "v")).alias("at")).select("cid", "label", "at.v", "at.size"))
+        if longest.isEmpty():
+            break
+        # Hubs by label first, so that small components have theirs as well.
+        hub = lambda k: F.min(F.struct(F.xxhash64("label", F.lit(turn), F.lit(k)), F.xxhash64("cid", F.lit(k)), F.col("cid"), F.col("label")))
+        hubs = longest.groupBy("v").agg(F.max("size").alias("size"), F.array_distinct(F.array(*(hub(k) for k in range(HUBS)))).alias("hubs"))
+        blocks = F.ceil(F.col("size") / WHOLE).cast("int")
+        members = longest.select("v", F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("i"), "cid", "label", F.lit(0).alias("side"))
+        hubs = hubs.select("v", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"), "hubs").select("v", "i", F.explode("hubs").alias("hub")).select("v", "i", "hub.cid", "hub.label", F.lit(1).alias("side"))
+        whole = members.unionByName(hubs).withColumn("j", F.lit(0)).join(texts_of(longest.select("cid")), "cid")
+        labels = merged(cut(_together(whole, links)))
+
+    marked = listed.join(labels, "cid")
+    open_ = marked.join(mixed(marked, "v"), "v")
+    sketched = _in_blocks(open_, "v", "size", BLOCK).join(classes.select("cid", "sketch"), "cid")
+    near = components(cut(_together(sketched, forest).distinct()))
+    marked = cut(near.withColumnRenamed("id", "cid").join(labels, "cid"))
+    open_ = marked.join(mixed(marked, "component"), "component")
+    whole = _in_blocks(open_, "component", "size", WHOLE).join(texts_of(open_.select("cid")), "cid")
+    labels = merged(cut(_together(whole, links)))
+    return made, classes.join(labels, "cid").select("digest", "first", "source", "label")

@@ -137,10 +137,10 @@ def test_minhash_against_all_pairs(spark):
     assert minhash.near_duplicates(docs_of(spark, ["x"]).limit(0)).count() == 0
 
 
-def test_long_lists_are_compared_by_wide_sketches(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "ROUNDS", ())
-    monkeypatch.setattr(minhash, "LONG", 4)
-    monkeypatch.setattr(minhash, "BLOCK", 4)
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_long_lists_go_in_blocks_and_by_hubs(spark, monkeypatch, rounds):
+    for name, value in {"ROUNDS": rounds, "LONG": 4, "BLOCK": 4, "WHOLE": 4, "HUBS": 2, "TILE": 3, "COLUMNS": 16}.items():
+        monkeypatch.setattr(minhash, name, value)
     own, rng, texts = prose(80, 5).split(), np.random.default_rng(3), []
     for i in range(24):
         w = list(own)
