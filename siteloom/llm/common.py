@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,10 +30,29 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siteloom-"))
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, read from Parquet files in the shared checkpoint folder; smaller than what cut() writes."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_folder(spark))
+    path = f"{sc.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path, compression="zstd")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir. Only a local session, which has no other hosts, may do without."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir isn't set; it names the folder that all hosts share")
+    return folder or tempfile.mkdtemp(prefix="siteloom-")
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Hand texts to Python in batches of so many rows, as a few very long ones may stand together."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
@@ -42,17 +62,22 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
 MAP_BITS = 1 << 22
 
 
-def thinned(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
-    """rows without most of those whose key no row of wanted has; the exact join is still to follow.
+def maybe(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """rows with `_maybe`: false only if no row of wanted has the key.
 
     A map of MAP_BITS bits over key hashes is broadcast, MAP_BITS / 64 rows at most whatever the input, so rows
-    that the join doesn't need aren't shuffled for it.
+    that a join doesn't need aren't shuffled for it.
     """
     spot = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
     bits = wanted.select(spot(wanted_key).alias("spot")).select(F.expr("spot div 64").alias("_word"), F.expr("shiftleft(1L, cast(spot % 64 as int))").alias("bit"))
     bits = bits.groupBy("_word").agg(F.bit_or("bit").alias("_bits"))
-    marked = rows.withColumn("_spot", spot(key)).withColumn("_word", F.expr("_spot div 64"))
-    return marked.join(F.broadcast(bits), "_word").where(F.expr("shiftrightunsigned(_bits, cast(_spot % 64 as int)) & 1L") == 1).drop("_word", "_spot", "_bits")
+    made = rows.withColumn("_spot", spot(key)).withColumn("_word", F.expr("_spot div 64")).join(F.broadcast(bits), "_word", "left")
+    return made.withColumn("_maybe", F.expr("coalesce(shiftrightunsigned(_bits, cast(_spot % 64 as int)) & 1L, 0L) = 1")).drop("_word", "_spot", "_bits")
+
+
+def thinned(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """rows without most of those whose key no row of wanted has; the exact join is still to follow."""
+    return maybe(rows, key, wanted, wanted_key).where("_maybe").drop("_maybe")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -1,16 +1,17 @@
 """Repeated passages by a hash-compared suffix sort.
 
-Anchors, the places of the least hash of ANCHOR bytes among neighbours, depend on the bytes around them alone and
-stand in every string of LENGTH bytes. Only anchors found twice go on, each with its context: the bytes before and
-after that a string of LENGTH bytes over the anchor can reach. Within a group of equal anchors the contexts' suffixes
-are sorted by a mergesort whose comparisons find the common extension of two suffixes by binary search over
-prefix polynomial hashes; neighbours that agree throughout are compared byte by byte. Of equal contexts the earliest
-stays; between the ones that differ the common extension to both sides of the anchor, found by the same search, gives
-the bytes that an earlier place covers.
+Of texts that are equal throughout only the first goes on. Each string of LENGTH bytes belongs to one anchor: the
+leftmost least hash of ANCHOR bytes in it, which depends on the string alone. So equal strings have equal anchors at
+the same place in them. The neighbouring strings of an anchor are its context, told by the anchor's and the context's
+64-bit hashes: of equal contexts the earliest goes on, the others are covered whole. Anchors with different contexts
+bring their bytes; the strings in them are suffixes, which a mergesort puts in order within each anchor and place.
+Its comparisons find the common extension of two suffixes by binary search over prefix polynomial hashes, and
+neighbours that agree over LENGTH are compared byte by byte. All but the earliest of those are covered.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,14 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, thinned
+from .common import cut, maybe, small_batches, stored, thinned
 
 LENGTH, ANCHOR = 100, 32
 REACH = LENGTH - ANCHOR  # bytes before an anchor that a string over it can start at
-#: Places of an anchor in one group; more of them are several groups, whose remaining contexts meet as windows.
+#: Different contexts of an anchor in one group; more of them are several groups, whose earliest strings meet again
+#: by 128-bit hash.
 GROUP = 2048
-#: Distinct contexts of a group that are compared in pairs; above that by windows.
-PAIRS = 64
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
@@ -70,81 +70,146 @@ def _extreme(x: np.ndarray, n: int, f) -> np.ndarray:
     return f(x[: len(x) - (n - span)], x[n - span :]) if n > span else x
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of anchors and their hashes, for bytes long enough to hold a string of LENGTH."""
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For bytes that hold a string of LENGTH: places of anchors, their hashes, the bytes of their contexts before the
+    place, how many strings are in each, and the contexts' hashes."""
     h = prefix_hashes(data)
-    n = len(data) - ANCHOR + 1
-    own = _mixed((h[ANCHOR:] - h[:n]) * DOWN.upto(n))
+    n, starts = len(data) - ANCHOR + 1, len(data) - LENGTH + 1
+    down = DOWN.upto(len(data) + 1)
+    own = _mixed((h[ANCHOR:] - h[:n]) * down[:n])
     least = _extreme(own, REACH + 1, np.minimum)
+    # A place may be an anchor if it is the least of some stretch: the highest of those stretches' minima.
     pad = np.zeros(REACH, np.uint64)
-    # A place is an anchor if it is the least of some stretch: the highest of those stretches' minima.
-    at = np.flatnonzero(_extreme(np.concatenate([pad, least, pad]), REACH + 1, np.maximum) == own)
-    return at, own[at]
+    may = _extreme(np.concatenate([pad, least, pad]), REACH + 1, np.maximum) == own
+    at = np.flatnonzero(may)
+    # Of each string the leftmost place with its least value.
+    which = (np.cumsum(may) - may)[:starts]
+    off = np.flatnonzero(own[at[which]] != least)
+    while len(off):
+        which[off] += 1
+        off = off[own[at[which[off]]] != least[off]]
+    first = np.flatnonzero(np.diff(which, prepend=-1))
+    count = np.diff(first, append=starts)
+    place = at[which[first]]
+    end = first + count + LENGTH - 1
+    return place, own[place], place - first, count, _mixed((h[end] - h[first]) * down[first] + count.astype(np.uint64))
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, context, doc, tie, place, again) of the anchors of all texts; place also holds the bytes before it and the
+    number of strings, in its upper bits. Of equal contexts in a batch only the earliest goes on as such; the others are spans by
+    now, so they have `again` and any number for a hash, and don't gather where the hash of a hot string does."""
     for batch in batches:
-        ids, places, hashes = [], [], []
-        for d, text in zip(batch["doc"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            data = np.frombuffer(text.encode(), np.uint8)
+        made, texts = [], batch["text"]
+        doc, tie = (batch[c].to_numpy() for c in ("doc", "tie"))
+        for i in np.lexsort((tie, doc)).tolist():
+            data = np.frombuffer(texts[i].as_buffer(), np.uint8)
             if len(data) >= LENGTH:
-                at, h = anchors(data)
-                ids.append(np.full(len(at), d, np.int64))
-                places.append(at)
-                hashes.append(h)
-        join = lambda x, t: np.concatenate([*x, np.empty(0, t)])
-        yield pa.RecordBatch.from_arrays([pa.array(join(hashes, np.uint64).view(np.int64)), pa.array(join(ids, np.int64)), pa.array(join(places, np.int64).astype(np.int32))], names=["h", "doc", "place"])
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose hash another row has, numbered into groups of GROUP; equal hashes stand together."""
-    held, before, run = None, None, 0
-    def done(rows: pa.RecordBatch, after) -> pa.RecordBatch:
-        nonlocal before, run
-        h = rows["h"].to_numpy()
-        left = np.concatenate([[before is not None and before == h[0]], h[1:] == h[:-1]])
-        right = np.concatenate([left[1:], [after is not None and after == h[-1]]])
-        starts = np.where(left, 0, np.arange(len(h)))
-        count = np.arange(len(h)) - np.maximum.accumulate(starts)
-        count += np.where(np.maximum.accumulate(np.where(left, 0, 1)) == 0, run + 1, 0)
-        before, run = h[-1], int(count[-1])
-        keep = pa.array(np.flatnonzero(left | right))
-        return pa.RecordBatch.from_arrays([*(rows[c].take(keep) for c in ("h", "doc", "place")), pa.array((count // GROUP)[np.flatnonzero(left | right)].astype(np.int32))], names=["h", "doc", "place", "part"])
-    for batch in batches:
-        if not batch.num_rows:
+                place, h, before, count, context = anchors(data)
+                made.append((h, context, np.full(len(h), doc[i]), np.full(len(h), tie[i]), (before << 48) | (count << 40) | place))
+        if not made:
             continue
-        if held is not None:
-            yield done(held, batch["h"][0].as_py())
-        held = batch
-    if held is not None:
-        yield done(held, None)
+        h, context, doc, tie, where = (np.concatenate(x) for x in zip(*made, strict=True))
+        kind = where >> 40
+        order = np.argsort(_mixed(h ^ context * BASE ^ kind.astype(np.uint64)), kind="stable")
+        a, b = order[:-1], order[1:]
+        again = np.zeros(len(order), bool)
+        again[b] = (h[a] == h[b]) & (context[a] == context[b]) & (kind[a] == kind[b])
+        h = np.where(again, _mixed(doc.astype(np.uint64) * BASE ^ where.astype(np.uint64)), h)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view(np.int64), context.view(np.int64), doc, tie, where, again)], names=["h", "context", "doc", "tie", "place", "again"])
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, tie, h, part, place) of anchors that stand in the order of hash, context and row.
+
+    Those whose context was found before are spans: their part is -1. Of the others only those are given whose hash has
+    different contexts; they are numbered into groups of GROUP.
+    """
+    last, number, pending = None, 0, None  # the row before, its context's number, and the first of a hash if it is not given
+    for batch in batches:
+        columns = [batch[c].to_numpy() for c in ("h", "context", "doc", "tie", "place")]
+        again = batch["again"].to_numpy(zero_copy_only=False)
+        given = [[c[again] for c in columns] + [np.full(int(again.sum()), -1)]]
+        columns = [c[~again] for c in columns]
+        h, context, *_, where = columns
+        if len(h):
+            same_h, same = np.zeros(len(h), bool), np.zeros(len(h), bool)
+            same_h[1:] = h[1:] == h[:-1]
+            same[1:] = same_h[1:] & (context[1:] == context[:-1]) & (where[1:] >> 40 == where[:-1] >> 40)
+            if last is not None:
+                same_h[0] = h[0] == last[0]
+                same[0] = same_h[0] and context[0] == last[1] and where[0] >> 40 == last[2]
+            given.append([c[same] for c in columns] + [np.full(int(same.sum()), -1)])
+            first = np.flatnonzero(~same)
+            if len(first):
+                k = np.arange(len(first))
+                start = np.maximum.accumulate(np.where(same_h[first], -1, k))
+                own = np.where(start >= 0, k - start, number + 1 + k)
+                if own[0] == 1 and pending is not None:
+                    given.append(pending)
+                give = own > 0
+                give[:-1] |= own[1:] == 1
+                some = first[give]
+                given.append([c[some] for c in columns] + [own[give] // GROUP])
+                number = int(own[-1])
+                pending = [c[first[-1:]] for c in columns] + [np.zeros(1, np.int64)] if number == 0 else None
+            last = (h[-1], context[-1], where[-1] >> 40)
+        h, _, doc, tie, where, part = (np.concatenate(x) for x in zip(*given, strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, tie, h, part, where)], names=["doc", "tie", "h", "part", "place"])
+
+
+def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans, joined where they meet, in order."""
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order]) if len(end) else end
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] > end[:-1]
+    at = np.flatnonzero(new)
+    return start[at], end[np.append(at[1:], len(end)) - 1] if len(end) else end
+
+
+def _packed(start: np.ndarray, end: np.ndarray) -> bytes:
+    return np.stack([start, end], axis=1).astype(np.int64).tobytes()
+
+
+def _unpacked(raw: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(raw or b"", np.int64).reshape(-1, 2).T)
+
+
+def _by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, tie, spans, asked) from the anchors of each row: merged spans, and packed (h, part, place) to compare."""
+    for batch in batches:
+        spans, asked = [], []
+        offsets, flat = batch["rows"].offsets.to_numpy(), batch["rows"].values
+        h, part, where = (flat.field(k).to_numpy() for k in range(3))
+        place, before, count = where & ((1 << 40) - 1), where >> 48, (where >> 40) & 255
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            own = slice(a, b)
+            found = part[own] < 0
+            start = (place - before)[own]
+            spans.append(_packed(*_merged(start[found], (start + count[own] + LENGTH - 1)[found])))
+            asked.append(np.stack([h[own][~found], part[own][~found], where[own][~found]], axis=1).tobytes() if not found.all() else None)
+        yield pa.RecordBatch.from_arrays([batch["doc"], batch["tie"], pa.array(spans, pa.binary()), pa.array(asked, pa.binary())], names=["doc", "tie", "spans", "asked"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        h, doc, place, part, before, context = [], [], [], [], [], []
-        for d, text, rows in zip(batch["doc"].to_pylist(), batch["text"].to_pylist(), batch["rows"].to_pylist(), strict=True):
-            data = text.encode()
-            for r in rows:
-                a = r["place"]
-                s = max(0, a - REACH)
-                h.append(r["h"])
-                doc.append(d)
-                place.append(a)
-                part.append(r["part"])
-                before.append(a - s)
-                context.append(data[s : a + LENGTH])
-        yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(doc, pa.int64()), pa.array(place, pa.int32()), pa.array(part, pa.int32()), pa.array(before, pa.int32()), pa.array(context, pa.binary())], names=["h", "doc", "place", "part", "before", "context"])
+        made, context = [], []
+        for doc, tie, text, asked in zip(*(batch[c].to_pylist() for c in ("doc", "tie")), batch["text"], batch["asked"].to_pylist(), strict=True):
+            data = text.as_py().encode()
+            h, part, where = np.frombuffer(asked, np.int64).reshape(-1, 3).T
+            place, before, count = where & ((1 << 40) - 1), where >> 48, (where >> 40) & 255
+            made.append((h, np.full(len(h), doc), np.full(len(h), tie), place, part, before))
+            context += [data[s:e] for s, e in zip((place - before).tolist(), (place - before + count + LENGTH - 1).tolist(), strict=True)]
+        columns = [pa.array(np.concatenate(x)) for x in zip(*made, strict=True)] if made else [pa.array([], pa.int64())] * 6
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(context, pa.binary())], names=["h", "doc", "tie", "place", "part", "before", "context"])
 
 
 class Suffixes:
     """Strings in one buffer, with prefix hashes that compare any two stretches in constant time."""
 
-    def __init__(self, strings: list[bytes]):
-        self.raw = b"".join(strings)
-        self.data = np.frombuffer(self.raw, np.uint8)
-        self.size = np.array([len(s) for s in strings], np.int64)
-        self.start = np.cumsum(self.size) - self.size
+    def __init__(self, raw: bytes, start: np.ndarray, size: np.ndarray):
+        self.data, self.start, self.size = np.frombuffer(raw, np.uint8), start, size
         self.hash = prefix_hashes(self.data)
         self.down = DOWN.upto(len(self.data) + 1)
 
@@ -161,15 +226,6 @@ class Suffixes:
             low, high = np.where(ok, mid, low), np.where(ok, high, mid - 1)
         return low
 
-    def back(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """Bytes that agree before a and before b."""
-        low, high = np.zeros_like(most), most.copy()
-        while (low < high).any():
-            mid = (low + high + 1) // 2
-            ok = self.same(a - mid, b - mid, mid)
-            low, high = np.where(ok, mid, low), np.where(ok, high, mid - 1)
-        return low
-
     def less(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether string i stands before string j; equal ones don't."""
         a, b = self.start[i], self.start[j]
@@ -213,84 +269,60 @@ class Suffixes:
         return order
 
 
-def covered(group: np.ndarray, doc: np.ndarray, place: np.ndarray, before: np.ndarray, contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For contexts by ascending group, (start, end, whether it stays the earliest of its context).
+def covered(group: np.ndarray, row: tuple[np.ndarray, ...], before: np.ndarray, contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Strings in contexts by ascending group: (context, start in it, whether it is the earliest of its kind).
 
-    Bytes [start, end) of the document are covered by earlier places of the group; start = end if none is.
+    Contexts of a group have their anchor after so many bytes; row has keys that tell which one is earlier.
     """
-    s, n = Suffixes(contexts), len(contexts)
-    order = s.sorted(group)
-    equal = np.zeros(n, bool)
-    i, j = order[:-1], order[1:]
-    maybe = (group[i] == group[j]) & (before[i] == before[j]) & (s.size[i] == s.size[j])
-    k = np.flatnonzero(maybe)
-    k = k[s.ahead(s.start[i[k]], s.start[j[k]], s.size[i[k]]) == s.size[i[k]]]
-    k = np.array([x for x in k.tolist() if contexts[i[x]] == contexts[j[x]]], np.int64)  # not only their hashes
-    equal[k + 1] = True
-    block = np.cumsum(~equal) - 1
-    by = np.lexsort((place[order], doc[order], block))
-    earliest = np.zeros(n, bool)
-    earliest[order[by[np.concatenate([[True], block[by][1:] != block[by][:-1]])]]] = True if n else False
-    start, end = place.copy(), place.copy()
-    whole = ~earliest & (s.size >= LENGTH)
-    start[whole], end[whole] = (place - before)[whole], (place - before + s.size)[whole]
-    own = np.flatnonzero(earliest)
-    own = own[np.lexsort((place[own], doc[own], group[own]))]
-    edges = np.flatnonzero(np.concatenate([[True], group[own][1:] != group[own][:-1], [True]]))
-    sizes = np.diff(edges)
-    pairs_a, pairs_b = [], []
-    for e, m in zip(edges[:-1][sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
-        if m <= PAIRS:
-            a, b = np.triu_indices(m, 1)
-            pairs_a.append(own[e + a])
-            pairs_b.append(own[e + b])
-        else:
-            _by_windows(s, own[e : e + m], place, before, start, end)
-    if pairs_a:
-        a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
-        x, y = s.start[a] + before[a], s.start[b] + before[b]
-        left = s.back(x, y, np.minimum(before[a], before[b]))
-        right = s.ahead(x, y, np.minimum(s.size[a] - before[a], s.size[b] - before[b]))
-        for k in np.flatnonzero(left + right >= LENGTH).tolist():
-            lo, hi = int(left[k]), int(right[k])
-            if s.raw[x[k] - lo : x[k] + hi] == s.raw[y[k] - lo : y[k] + hi]:
-                p = b[k]
-                empty = start[p] == end[p]
-                start[p] = place[p] - lo if empty else min(start[p], place[p] - lo)
-                end[p] = place[p] + hi if empty else max(end[p], place[p] + hi)
-    return start, end, earliest
-
-
-def _by_windows(s: Suffixes, own: np.ndarray, place, before, start, end) -> None:
-    """The same for many contexts of one group, in order of place: each window over the anchor against earlier ones."""
-    for k in range(REACH + 1):
-        ok = own[(before[own] >= k) & (s.size[own] - before[own] + k >= LENGTH)]
-        seen: dict[bytes, bool] = {}
-        for p in ok.tolist():
-            a = int(s.start[p] + before[p]) - k
-            window = s.raw[a : a + LENGTH]
-            if window in seen:
-                empty = start[p] == end[p]
-                start[p] = place[p] - k if empty else min(start[p], place[p] - k)
-                end[p] = place[p] - k + LENGTH if empty else max(end[p], place[p] - k + LENGTH)
-            else:
-                seen[window] = True
+    size = np.array([len(c) for c in contexts], np.int64)
+    count = size - LENGTH + 1
+    which = np.repeat(np.arange(len(contexts)), count)
+    at = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    # By group and place of the anchor in the string: only such strings can be equal.
+    key = group[which] * LENGTH + (before[which] - at)
+    by_key = np.argsort(key, kind="stable")
+    which, at, key = which[by_key], at[by_key], key[by_key]
+    s = Suffixes(b"".join(contexts), (np.cumsum(size) - size)[which] + at, np.full(len(which), LENGTH))
+    order = s.sorted(key)
+    new = np.ones(len(order), bool)
+    a, b = order[:-1], order[1:]
+    maybe = np.flatnonzero(key[a] == key[b])
+    maybe = maybe[s.same(s.start[a[maybe]], s.start[b[maybe]], np.full(len(maybe), LENGTH))]
+    for k in range(0, len(maybe), 1 << 14):  # not only their hashes
+        x = maybe[k : k + (1 << 14)]
+        span = np.arange(LENGTH)
+        new[x[(s.data[s.start[a[x], None] + span] == s.data[s.start[b[x], None] + span]).all(axis=1)] + 1] = False
+    block = np.cumsum(new) - 1
+    by = np.lexsort((*(r[which[order]] for r in reversed(row)), block))
+    earliest = np.zeros(len(order), bool)
+    earliest[order[by[np.flatnonzero(np.diff(block[by], prepend=-1))]]] = True
+    return which, at, earliest
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """covered() over whole (h, part) groups, which stand together: (doc, start, end, h, part, rest)."""
+    """covered() over whole (h, part) groups, which stand together: spans, and of the earliest strings in groups that
+    are a part of their hash's contexts (rest) the bytes."""
     held: list[pa.RecordBatch] = []
+
     def done(t: pa.Table) -> pa.RecordBatch:
-        h, part, doc, place, before = (t[c].to_numpy().astype(np.int64) for c in ("h", "part", "doc", "place", "before"))
-        group = np.cumsum(np.concatenate([[0], (h[1:] != h[:-1]) | (part[1:] != part[:-1])])) if len(h) else h
+        h, part, doc, tie, place, before = (t[c].to_numpy() for c in ("h", "part", "doc", "tie", "place", "before"))
+        group = np.cumsum((np.diff(h, prepend=h[:1]) != 0) | (np.diff(part, prepend=part[:1]) != 0))
         contexts = t["context"].to_pylist()
-        start, end, earliest = covered(group, doc, place, before, contexts) if len(h) else (place, place, place.astype(bool))
-        # What stays the earliest here may repeat what another part of the same anchor has.
-        rest = earliest & t["many"].to_numpy()
-        keep = np.flatnonzero((end > start) | rest)
+        which, at, earliest = covered(group, (doc, tie, place), before, contexts)
+        order = np.lexsort((at, which))
+        which, at, earliest = which[order], at[order], earliest[order]
+        # Strings side by side are one span.
+        gone = ~earliest
+        start = np.flatnonzero(gone & np.concatenate([[True], ~gone[:-1] | (which[1:] != which[:-1])]))
+        end = np.flatnonzero(gone & np.concatenate([~gone[1:] | (which[1:] != which[:-1]), [True]]))
+        zero = (place - before)[which]
+        many = t["many"].to_numpy()
+        rest = np.flatnonzero(earliest & many[which])
+        rows = np.concatenate([start, rest])
         return pa.RecordBatch.from_arrays(
-            [pa.array(h[keep]), pa.array(doc[keep]), pa.array(place[keep].astype(np.int32)), pa.array(before[keep].astype(np.int32)), pa.array([contexts[k] if rest[k] else None for k in keep.tolist()], pa.binary()), pa.array(start[keep]), pa.array(end[keep])],
-            names=["h", "doc", "place", "before", "context", "start", "end"])
+            [pa.array(doc[which[rows]]), pa.array(tie[which[rows]]), pa.array((zero + at)[rows]), pa.array(np.concatenate([(zero + at)[end] + LENGTH, (zero + at)[rest]])), pa.array([None] * len(start) + [contexts[w][a : a + LENGTH] for w, a in zip(which[rest].tolist(), at[rest].tolist(), strict=True)], pa.binary())],
+            names=["doc", "tie", "start", "end", "string"])
+
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -307,77 +339,81 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(pa.Table.from_batches(held))
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each string of LENGTH bytes over an anchor as two 64-bit hashes."""
-    import xxhash
-
+def _parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes that have more than one group."""
     for batch in batches:
-        out = []
-        for doc, place, before, c in zip(*(batch[x].to_pylist() for x in ("doc", "place", "before", "context")), strict=True):
-            out += [(xxhash.xxh3_128_digest(c[s : s + LENGTH]), doc, place - before + s) for s in range(len(c) - LENGTH + 1)]
-        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.binary()), *(pa.array([o[k] for o in out], pa.int64()) for k in (1, 2))], names=["window", "doc", "at"])
+        asked = np.frombuffer(b"".join(batch["asked"].to_pylist()), np.int64).reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(asked[asked[:, 1] > 0, 0]))], names=["h"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import hashlib
-
+    """What is left of each text without its spans."""
     for batch in batches:
         out = []
-        for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist(), strict=True):
-            data, merged = text.encode(), []
-            for a, b in sorted((x["start"], x["end"]) for x in spans):
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], b)
-                else:
-                    merged.append([a, b])
-            at, left = 0, []
-            for a, b in merged:
-                left.append(data[at:a])
-                at = b
-            digest = lambda b: hashlib.sha256(b).hexdigest()
-            out.append((sum(b - a for a, b in merged), len(merged), digest(b"".join([*left, data[at:]])), digest(data)))
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string())))], names=["_id", "n_removed", "n_spans", "kept_sha256", "_whole"])
-
-
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc, start, end) of bytes covered by strings of LENGTH bytes that start earlier; docs has doc and text.
-
-    Spans of a document may meet. doc numbers the order; texts aren't null.
-    """
-    spark = docs.sparkSession
-    small_batches(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = docs.mapInArrow(_anchored, "h long, doc long, place int")
-    shared = cut(found.repartition(n, "h").sortWithinPartitions("h").mapInArrow(_shared, "h long, doc long, place int, part int"))
-    many = shared.where("part > 0").select("h").distinct().withColumn("many", F.lit(True))
-    by_doc = shared.groupBy("doc").agg(F.collect_list(F.struct("h", "place", "part")).alias("rows"))
-    texts = thinned(docs, F.col("doc"), shared, F.col("doc")).join(by_doc, "doc")
-    contexts = texts.select("doc", "text", "rows").mapInArrow(_contexts, "h long, doc long, place int, part int, before int, context binary")
-    contexts = contexts.join(many, "h", "left").withColumn("many", F.coalesce("many", F.lit(False)))
-    done = cut(contexts.repartition(n, "h", "part").sortWithinPartitions("h", "part").mapInArrow(_groups, "h long, doc long, place int, before int, context binary, start long, end long"))
-    spans = done.where("end > start").select("doc", "start", "end")
-    rest = done.where(F.col("context").isNotNull())
-    if not rest.isEmpty():
-        windows = cut(rest.mapInArrow(_windows, "window binary, doc long, at long"))
-        first = windows.groupBy("window").agg(F.min(F.struct("doc", "at")).alias("first"))
-        later = windows.join(first, "window").where(F.struct("doc", "at") != F.col("first")).select("doc", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end"))
-        spans = spans.unionByName(later)
-    return spans
+        for text, first, more in zip(batch["text"], batch["spans"].to_pylist(), batch["more"].to_pylist(), strict=True):
+            data = text.as_py().encode()
+            found = [_unpacked(first), (np.array([x["start"] for x in more or []], np.int64), np.array([x["end"] for x in more or []], np.int64))]
+            start, end = _merged(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            left = hashlib.sha256()
+            for a, b in zip([0, *end.tolist()], [*start.tolist(), len(data)], strict=True):
+                left.update(data[a:b])
+            out.append((int((end - start).sum()), len(start), left.hexdigest()))
+        yield pa.RecordBatch.from_arrays([batch["doc"], batch["tie"], *(pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.string())))], names=["doc", "tie", "n_removed", "n_spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
-    Every byte goes that a string of LENGTH bytes covers which also starts earlier, in a smaller doc_id or before in
-    the same document. Null texts are empty; null ids come last and, like rows that repeat an id, count as one
-    document's. An empty table gives no rows; other columns are ignored.
+    Every byte goes that a string of LENGTH bytes covers which also starts earlier: in an earlier row, or before in the
+    same one. Rows come by doc_id, a null one last, and with equal ids by a hash of the text; of rows that share id and
+    text one is the first. Null texts are empty. An empty table gives no rows; other columns are ignored.
     """
-    order = F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), order.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    spans = cut(repeated_spans(rows.select("doc", "text")))
-    by_doc = spans.groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    cleaned = thinned(rows, F.col("doc"), spans, F.col("doc")).join(by_doc, "doc").select("doc_id", "text", "spans").mapInArrow(_kept, "_id long, n_removed long, n_spans long, kept_sha256 string, _whole string").dropDuplicates(["_id", "_whole"])
-    plain = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
-    joined = plain.join(cleaned, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("whole") == F.col("_whole")), "left")
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return joined.select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+    spark = docs.sparkSession
+    small_batches(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    doc = F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), doc.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+    # Rows by id and text. A text goes on once, as its earliest row; tie tells apart rows that share an id.
+    code = F.xxhash64("text")
+    known = stored(rows.select("doc_id", "doc", code.alias("code"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole")).groupBy("doc_id", "doc", "code", "n_bytes", "whole").agg(F.count(F.lit(1)).alias("times")))
+    shared = known.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc", F.lit(True).alias("shared"))
+    first = known.groupBy("whole").agg(F.min("doc").alias("first_doc"), F.min(F.struct("doc", F.col("doc_id").isNull().alias("none"))).alias("first"), F.count(F.lit(1)).alias("rows"))
+    known = stored(known.join(shared, "doc", "left").join(first, "whole").select(
+        "doc_id", "doc", "code", "n_bytes", "whole", "times", F.when(F.col("shared"), F.col("code")).otherwise(F.lit(0)).cast("long").alias("tie"),
+        (F.struct("doc", F.col("doc_id").isNull().alias("none")) == F.col("first")).alias("is_first")))
+    odd = known.where(~F.col("is_first") | (F.col("tie") != 0) | (F.col("times") > 1)).select("doc_id", "doc", "code", "tie", "is_first")
+    marked = maybe(rows.where(F.octet_length("text") >= LENGTH).withColumn("code", code), F.struct("doc", "code"), odd, F.struct("doc", "code"))
+    told = marked.where("_maybe").join(odd, marked["doc_id"].eqNullSafe(odd["doc_id"]) & (marked["code"] == odd["code"]), "left").where(F.coalesce("is_first", F.lit(True)))
+    told = told.select(marked["doc"], F.coalesce("tie", F.lit(0).cast("long")).alias("tie"), "text", "is_first")
+    texts = marked.where("not _maybe").select("doc", F.lit(0).cast("long").alias("tie"), "text").unionByName(
+        told.where("is_first is null").drop("is_first")).unionByName(told.where("is_first").drop("is_first").dropDuplicates(["doc", "tie"]))
+
+    found = texts.mapInArrow(_anchored, "h long, context long, doc long, tie long, place long, again boolean")
+    # Equal contexts have the same upper bits of place; the lower ones are the place itself.
+    kind = F.shiftright("place", 40)
+    ordered = found.repartition(n, "h").sortWithinPartitions("h", "context", kind, "doc", "tie", "place")
+    asked = ordered.mapInArrow(_compared, "doc long, tie long, h long, part long, place long")
+    by_row = stored(asked.groupBy("doc", "tie").agg(F.collect_list(F.struct("h", "part", "place")).alias("rows")).mapInArrow(_by_row, "doc long, tie long, spans binary, asked binary"))
+
+    # Different contexts of one hash, by their bytes.
+    row = F.struct("doc", "tie")
+    some = by_row.where("asked is not null")
+    contexts = thinned(texts, row, some, row).join(some, ["doc", "tie"]).select("doc", "tie", "text", "asked").mapInArrow(_contexts, "h long, doc long, tie long, place long, part long, before long, context binary")
+    many = some.mapInArrow(_parted, "h long").distinct().withColumn("many", F.lit(True))
+    contexts = contexts.join(many, "h", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    done = stored(contexts.repartition(n, "h", "part").sortWithinPartitions("h", "part").mapInArrow(_groups, "doc long, tie long, start long, end long, string binary"))
+    spans = done.where("string is null").select("doc", "tie", "start", "end")
+    rest = done.where("string is not null").withColumn("string", F.unhex(F.substring(F.sha2("string", 256), 1, 32)))
+    earliest = rest.groupBy("string").agg(F.min(F.struct("doc", "tie", "start")).alias("earliest"))
+    spans = spans.unionByName(rest.join(earliest, "string").where(F.struct("doc", "tie", "start") != F.col("earliest")).select("doc", "tie", "start", "end"))
+
+    more = spans.groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "end")).alias("more"))
+    gone = stored(by_row.select("doc", "tie", "spans").where(F.length("spans") > 0).join(more, ["doc", "tie"], "full_outer"))
+    cleaned = thinned(texts, row, gone, row).join(gone, ["doc", "tie"]).select("doc", "tie", "text", "spans", "more").mapInArrow(_kept, "doc long, tie long, n_removed long, n_spans long, kept string")
+    joined = known.join(cleaned, ["doc", "tie"], "left").withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    copy = (F.col("n_bytes") >= LENGTH) & (~F.col("is_first") | (F.col("_row") > 1))
+    found = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
+    return joined.select(
+        "doc_id", "n_bytes", F.when(copy, F.col("n_bytes")).otherwise(found("n_removed")).alias("n_removed"), F.when(copy, 1).otherwise(found("n_spans")).cast("long").alias("n_spans"),
+        F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept", "whole")).alias("kept_sha256"))

@@ -222,14 +222,10 @@ def test_quality_is_alike_at_every_size(spark, n):
 # passages
 
 
-def test_passages_against_brute_force(spark):
-    rng = np.random.default_rng(4)
-    noise = lambda n: "".join(chr(97 + int(x)) for x in rng.integers(26, size=n))
-    shared, long = noise(160), noise(700)
-    texts = [noise(300) + shared + noise(50), shared, noise(40) + shared[10:140] + noise(200), long, long, long[:350] + "é" + long[350:], noise(99), "", None, "ab" * 150, "z" * 260, noise(120) + long[100:230] + noise(10) + long[100:230], shared[:99] + "!"]
-    texts += [noise(30) + shared + noise(30) for _ in range(30)]
-    seen, want = set(), {}
-    for i, t in enumerate(texts):
+def plain_passages(rows):
+    """What is left of (id, text) rows, in order of rows: removed bytes, runs and a digest."""
+    seen, made = set(), []
+    for i, t in rows:
         b = (t or "").encode()
         gone = [False] * len(b)
         for k in range(len(b) - 99):
@@ -237,34 +233,46 @@ def test_passages_against_brute_force(spark):
                 gone[k : k + 100] = [True] * 100
             seen.add(b[k : k + 100])
         runs = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
-        want[i] = (len(b), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest())
+        made.append((i, len(b), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()))
+    return made
+
+
+def passage_texts():
+    rng = np.random.default_rng(4)
+    noise = lambda n: "".join(chr(97 + int(x)) for x in rng.integers(26, size=n))
+    shared, long = noise(160), noise(700)
+    texts = [noise(300) + shared + noise(50), shared, noise(40) + shared[10:140] + noise(200), long, long, long[:350] + "é" + long[350:], noise(99), "", None, "ab" * 150, "z" * 260, noise(120) + long[100:230] + noise(10) + long[100:230], shared[:99] + "!"]
+    return texts + [noise(30) + shared + noise(30) for _ in range(30)]
+
+
+@pytest.mark.parametrize("group", [2048, 4])
+def test_passages_against_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(passages, "GROUP", group)
+    texts = passage_texts()
     df = docs_of(spark, texts)
-    check = lambda: {r.doc_id: tuple(r)[1:] for r in passages.remove_repeats(df).collect()} == want
-    assert check()
+    assert sorted(map(tuple, passages.remove_repeats(df).collect())) == plain_passages(enumerate(texts))
     assert passages.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_passages_of_repeated_and_null_ids(spark):
+    texts = passage_texts()
+    ids = [None if i % 5 == 2 else i // 3 for i in range(len(texts))]
+    rows = [*zip(ids, texts), *zip(ids[:6], texts[:6]), (None, texts[-1]), (3, texts[3])]
+    code = {r.t: r.c for r in spark.createDataFrame([(t or "",) for t in set(texts)], "t string").select("t", F.xxhash64("t").alias("c")).collect()}
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, code[r[1] or ""]))
+    df = docs_of(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    assert sorted(map(tuple, passages.remove_repeats(df).collect()), key=str) == sorted(plain_passages(rows), key=str)
+
+
 def test_suffixes_are_sorted():
     rng = np.random.default_rng(5)
     strings = [bytes(rng.integers(97, 99, size=rng.integers(0, 9)).astype(np.uint8)) for _ in range(300)]
     group = np.sort(rng.integers(0, 12, size=300))
-    order = passages.Suffixes(strings).sorted(group)
+    size = np.array(list(map(len, strings)))
+    order = passages.Suffixes(b"".join(strings), np.cumsum(size) - size, size).sorted(group)
     assert [(group[i], strings[i], i) for i in order] == sorted((group[i], strings[i], i) for i in range(300))
 
 
-def test_many_contexts_and_parts(spark, monkeypatch):
-    monkeypatch.setattr(passages, "PAIRS", 2)
-    rng = np.random.default_rng(6)
-    noise = lambda n: bytes(rng.integers(97, 123, size=n).astype(np.uint8))
-    core = noise(130)
-    contexts = [noise(int(k)) + core[int(k) // 2 :] for k in rng.integers(0, 60, size=20)]
-    n = len(contexts)
-    start, end, _ = passages.covered(np.zeros(n, int), np.arange(n), np.full(n, 68), np.full(n, 0), [c[:100] for c in contexts])
-    monkeypatch.setattr(passages, "PAIRS", 64)
-    same = passages.covered(np.zeros(n, int), np.arange(n), np.full(n, 68), np.full(n, 0), [c[:100] for c in contexts])
-    assert (start == same[0]).all() and (end == same[1]).all()
-
-
 # mixing
 
 
