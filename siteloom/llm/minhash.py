@@ -295,7 +295,9 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -
     ).withColumn("cid", F.monotonically_increasing_id())
 
     # Lists: only values that two classes retain, of each class its rarest.
-    values = classes.select("cid", "n", F.size("vs").alias("m"), F.explode("vs").alias("v"))
+    # Counted and joined in one dealing by value.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = classes.select("cid", "n", F.size("vs").alias("m"), F.explode("vs").alias("v")).repartition(parts, "v")
     shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     need = F.when(F.col("m") < 0.8 * SKETCH, F.ceil(0.8 * F.col("m"))).otherwise(SHARED)
     rarest = values.join(shared, "v").groupBy("cid", "n", "m").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
@@ -341,8 +343,11 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -
         whole = members.unionByName(hubs).withColumn("j", F.lit(0)).join(texts_of(longest.select("cid")), "cid")
         labels = merged(cut(_together(whole, links)))
 
+    # Lists with the same members, by two 64-bit hashes of them, are one: those of a lone pair are as many as it shares values.
     marked = listed.join(labels, "cid")
-    open_ = marked.join(mixed(marked, "v"), "v")
+    members = [F.bit_xor(F.xxhash64("cid", F.lit(k))).alias(f"members{k}") for k in (0, 1)]
+    lists = marked.groupBy("v").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), *members).where("low < high")
+    open_ = marked.join(lists.groupBy("size", "members0", "members1").agg(F.min("v").alias("v")).select("v", "size"), "v")
     sketched = _in_blocks(open_, "v", "size", BLOCK).join(classes.select("cid", "sketch"), "cid")
     near = components(cut(_together(sketched, forest).distinct()))
     marked = cut(near.withColumnRenamed("id", "cid").join(labels, "cid"))
