@@ -104,8 +104,8 @@ QUERIES["op9_embeddings"] = op9_embeddings
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain figures and the verdict of n-gram likelihoods for every document; trusted are those labelled good."""
-    docs = table(spark, sf_dir, "documents")
-    return quality.judge(docs, quality.weights(docs, table(spark, sf_dir, "labels").where("quality = 1 and coalesce(toxic, 0) = 0")))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.judge(docs, quality.weights(docs, labels.where("quality = 1 and coalesce(toxic, 0) = 0"), rejected=labels.where("quality = 0")))
 
 
 QUERIES["op5_quality"] = op5_quality

@@ -1,5 +1,6 @@
 """Operators against plain versions, and on nulls, empty and repeated rows, and empty tables."""
 
+import collections
 import hashlib
 import itertools
 import math
@@ -198,14 +199,34 @@ def test_quality_base(spark):
         assert (got[i].n_words, got[i].word_chars, got[i].n_symbols, got[i].n_dup_lines, got[i].n_repeat_words) == want
 
 
-def test_quality_keeps_clean(spark):
+def test_quality_keeps_clean(spark, monkeypatch):
     junk = lambda i: " ".join(f"zz{(i * k) % 97}###" for k in range(80))
     clean = lambda i: " ".join(np.random.default_rng(i).choice(WORDS, 80))
     df = docs_of(spark, [clean(i) for i in range(60)] + [junk(i) for i in range(3, 23)])
-    ratios = quality.weights(df, df.where("doc_id < 40"))
-    got = {r.doc_id: r for r in quality.judge(df, ratios).collect()}
+    model = quality.weights(df, df.where("doc_id < 40"))
+    got = {r.doc_id: r for r in quality.judge(df, model).collect()}
     assert all(got[i].kept for i in range(60)) and not any(got[i].kept for i in range(60, 80))
-    assert quality.judge(df.limit(0), ratios).count() == 0
+    assert quality.judge(df.limit(0), model).count() == 0
+    monkeypatch.setattr(quality, "LOOKUP", 0)
+    assert {r.doc_id: r for r in quality.judge(df, model).collect()} == got
+    none = quality.weights(df, df.limit(0))
+    assert all(r.llr == 0 and r.kept == (not r.base_failed) for r in quality.judge(df, none).collect())
+
+
+def test_quality_against_plain_counts(spark):
+    """The ratios and the verdict from counts made in plain Python."""
+    df = docs_of(spark, [prose(60, i) for i in range(90)] + [None, "", "one"])
+    model = quality.weights(df, df.where("doc_id < 45"))
+    told = {r.doc_id: (r.g, r.h) for r in df.select("doc_id", quality.grams(quality.words(F.col("text")), model.buckets).alias("g"), (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(quality.HELD)) == 0).alias("h")).collect()}
+    counted = {i: own for i, (own, _) in told.items()}
+    every, some = (collections.Counter(g for i, own in counted.items() for g in own if i in of) for of in (told, {i for i, (_, h) in told.items() if i < 45 and not h}))
+    raw, own = sum(every.values()), sum(some.values())
+    ratio = {g: round(1e6 * (math.log((some[g] / own + 0.25 * n / raw) / 1.25) - math.log(n / raw))) for g, n in every.items()}
+    llr = {i: sum(ratio[g] for g in gs) / 1e6 / len(gs) if gs else 0.0 for i, gs in counted.items()}
+    tail, median = np.quantile([llr[i] for i, (_, h) in told.items() if i < 45 and h], [quality.LOST, 0.5])
+    least = tail - quality.MARGIN * (median - tail)
+    for r in quality.judge(df, model).collect():
+        assert r.llr == pytest.approx(llr[r.doc_id], abs=1e-6) and r.kept == (not r.base_failed and llr[r.doc_id] >= least - 1e-12)
 
 
 @pytest.mark.parametrize("n", [120, 1200])
