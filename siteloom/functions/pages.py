@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gzip
+import html.entities
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +24,11 @@ BLOCKED_BELOW = 10_000
 MAGIC = ("255044462D", "504B0304", "89504E470D0A1A0A", "FFD8FF", "52494646")
 GZIP_MAGIC = b"\x1f\x8b"
 LARGEST, READ_AHEAD, SAMPLE = 5 * 1024 * 1024, 1024, 64
-ENTITIES = (("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+#: White space as str.strip() and str.split() know it, for Java's and RE2's expressions alike.
+SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: What has no text in it: comments, and elements with all that is in them; an open one goes to the end.
+UNSEEN = r"(?is)<!--.*?(?:--!?>|\z)|" + "|".join(rf"<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in ("script", "style", "noscript"))
+TAG = r"(?s)<(?:/?[A-Za-z]|[!?])[^>]*>"
 BREAK = "\x01"
 
 
@@ -31,22 +37,42 @@ def is_html(body: Column) -> Column:
     return F.coalesce(start.rlike("|".join(HTML_MARKS)), F.lit(False))
 
 
+def unescaped(text: Column) -> Column:
+    """text with its character references replaced: named ones, decimal and hexadecimal numbers.
+
+    Names are those of the standard library's table; without a semicolon only the old ones count.
+    """
+    names = F.from_json(F.lit(json.dumps(html.entities.html5)), "map<string,string>")
+    # Numbers that stand for the signs of an old code page.
+    odd = F.create_map(*(x for n in range(128, 160) if (sign := bytes([n]).decode("cp1252", "ignore")) for x in (F.lit(n), F.lit(sign))))
+
+    def sign(number: Column) -> Column:
+        known = number.isNotNull() & (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        code = F.decode(F.unhex(F.lpad(F.hex(F.when(known, number).otherwise(0xFFFD).cast("long")), 8, "0")), "UTF-32")
+        return F.coalesce(F.try_element_at(odd, number.cast("int")), code)
+
+    def piece(x: Column) -> Column:
+        name = F.regexp_extract(x, r"^(#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;?)", 1)
+        digits = F.regexp_extract(name, r"^#([0-9]+)", 1).try_cast("bigint")
+        hexadecimal = F.regexp_extract(name, r"^#[xX]0*([0-9A-Fa-f]{1,8});?$", 1)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.nullif(hexadecimal, F.lit("")), 16, 10).try_cast("bigint")).otherwise(digits)
+        known = F.when(name.startswith("#"), sign(number)).when(name != "", F.try_element_at(names, name))
+        return F.coalesce(F.concat(known, F.substr(x, F.length(name) + 1)), F.concat(F.lit("&"), x))
+
+    parts = F.split(text, "&", -1)
+    whole = F.array_join(F.concat(F.slice(parts, 1, 1), F.transform(F.slice(parts, 2, 1 << 30), piece)), "")
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+
+
 def visible_text(body: Column) -> Column:
     """Text nodes outside script, style and noscript, stripped and joined by a space; empty for what isn't HTML."""
-    bare = F.regexp_replace(body, r"(?is)<(script|style|noscript)\b[^>]*>.*?</(script|style|noscript)\s*>", "")
-    bare = F.regexp_replace(bare, r"(?s)<!--.*?-->", "")
-    bare = F.regexp_replace(bare, r"(?s)<[^>]*>", BREAK)
-    nodes = F.split(bare, BREAK)
-    def plain(x: Column) -> Column:
-        for name, sign in ENTITIES:
-            x = F.replace(x, F.lit(name), F.lit(sign))
-        return F.regexp_replace(x, r"^\s+|\s+$", "")
-    text = F.array_join(F.filter(F.transform(nodes, plain), lambda x: x != ""), " ")
+    nodes = F.split(F.regexp_replace(F.regexp_replace(body, UNSEEN, BREAK), TAG, BREAK), BREAK)
+    text = F.array_join(F.filter(F.transform(nodes, lambda x: F.regexp_replace(unescaped(x), f"^{SPACE}+|{SPACE}+$", "")), lambda x: x != ""), " ")
     return F.when(is_html(body) & ~body.startswith("[ERROR"), text).otherwise("")
 
 
 def word_count(text: Column) -> Column:
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[\s\x1c-\x1f]+"), lambda x: x != ""))
+    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), lambda x: x != ""))
 
 
 def is_blocked(sample: Column, length: Column) -> Column:

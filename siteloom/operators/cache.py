@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,7 +15,7 @@ def with_dup_hits(rows: DataFrame) -> DataFrame:
     """Adds dup_hits, the rows of each key; null for a null key."""
     if "url_hash" not in rows.columns:
         raise ValueError("url_hash is needed; transform computes it")
-    return rows.join(rows.groupBy("url_hash").agg(F.count(F.lit(1)).alias("dup_hits")), "url_hash", "left")
+    return rows.withColumn("dup_hits", F.when(F.col("url_hash").isNotNull(), F.count(F.lit(1)).over(Window.partitionBy("url_hash"))))
 
 
 def cached(rows: DataFrame, results: DataFrame) -> DataFrame:

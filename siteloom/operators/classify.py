@@ -13,8 +13,14 @@ from pyspark.sql import functions as F
 from ..functions import pages, topics, urls
 from ..schemas import CATEGORIES, RESULT_COLUMNS
 
-#: Names that the stand-in classifier gives, in turn.
-NAMES = ("/Travel/Air Travel", "/Sports/Team Sports", "/Sports", "/News/Weather", "/Health/Aging", "/Food & Drink/Restaurants", "/Travel & Transportation/Transportation/Air Travel", "/Arts & Entertainment/Events & Listings/Film")
+#: Seconds of one call, of all attempts together, and between them: the first, the growth and the longest.
+CALL, DEADLINE, FIRST, GROWTH, LONGEST = 30.0, 60.0, 1.0, 1.5, 10.0
+#: Calls don't start in step: each waits up to so many seconds first.
+APART = 0.05
+
+
+class Busy(Exception):
+    """The classifier is out of quota, away or late; another attempt may do."""
 
 
 class RateLimiter:
@@ -32,29 +38,41 @@ class RateLimiter:
         self.next = max(now, self.next) + self.interval * random.uniform(1 - self.jitter, 1 + self.jitter)
 
 
-def remote(rows: DataFrame, classifier: Callable[[str], list[dict] | None], rps: float = 5.0) -> DataFrame:
-    """rows with `categories` from a classifier called for each text; an exception or None counts as no answer."""
+def answer(text: str, classifier: Callable[[str, float], list[dict] | None], clock: Callable[[], float] = time.monotonic, wait: Callable[[float], None] = time.sleep) -> list[dict] | None:
+    """Categories of a text; None for no answer, which isn't the same as an empty one.
+
+    The classifier gets the text and the seconds that it may take. Busy is tried again until DEADLINE, anything else
+    that it raises ends the call.
+    """
+    end, pause = clock() + DEADLINE, FIRST
+    wait(random.uniform(0, APART))
+    while True:
+        try:
+            return classifier(text, min(CALL, max(0.0, end - clock())))
+        except Busy:
+            if clock() + pause > end:
+                return None
+            wait(random.uniform(0, pause))
+            pause = min(pause * GROWTH, LONGEST)
+        except Exception:  # noqa: BLE001  a failed call drops its row, not the run
+            return None
+
+
+def remote(rows: DataFrame, classifier: Callable[[str, float], list[dict] | None], rps: float = 5.0) -> DataFrame:
+    """rows with `categories` from a classifier called once for each text that is long enough; others have null."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         limiter = RateLimiter(rps)
-        def answer(text: str):
+
+        def one(text: str):
             limiter.acquire()
-            try:
-                return classifier(text)
-            except Exception:  # noqa: BLE001  a failed call drops its row, not the run
-                return None
-        for part in parts:
-            yield part.assign(categories=[answer(t) for t in part["page_text"]])
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInPandas(run, f"{kinds}, categories {CATEGORIES}")
+            return answer(text, classifier)
 
+        for part in parts:
+            yield part.drop(columns="_long").assign(categories=[one(t) if long else None for t, long in zip(part["page_text"], part["_long"], strict=True)])
 
-def stand_in(page_id: Column) -> Column:
-    """Deterministic answers by page: null for every 17th, none for every 13th, else one or two categories."""
-    name = lambda k: F.element_at(F.array(*(F.lit(n) for n in NAMES)), (page_id + k) .cast("int") % len(NAMES) + 1)
-    sure = lambda k: ((page_id * 37 + k) % 101) / F.lit(100.0)
-    one = lambda k: F.struct(name(k).alias("name"), sure(k).alias("confidence"))
-    none = F.array().cast(CATEGORIES)
-    return F.when(page_id.isNull() | (page_id % 17 == 0), F.lit(None).cast(CATEGORIES)).when(page_id % 13 == 0, none).when(page_id % 2 == 0, F.array(one(0), one(3))).otherwise(F.array(one(0)))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    long = F.coalesce(pages.word_count(F.col("page_text")) >= topics.LEAST_WORDS, F.lit(False))
+    return rows.withColumn("_long", long).mapInPandas(run, f"{kinds}, categories {CATEGORIES}")
 
 
 def enough_words(rows: DataFrame, least: int = topics.LEAST_WORDS) -> DataFrame:

@@ -23,14 +23,36 @@ def kept(log: DataFrame) -> DataFrame:
 def dedupe_with_hits(log: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """A row an address of the window: site and client of its least row, the key, and the number of rows.
 
-    One aggregate gives both the count and the representative row, so rows meet once, after partial sums.
+    Sites that are placeholders come last, so an address keeps a usable site if any of its rows has one. Rows are
+    counted by address, site and client first, by hash in each task; only those counts are sorted for the least one.
     """
     base = kept(log.where(in_window(start, end))).select(urls.clean(F.col("site")).alias("site"), urls.clean(F.col("trimmed_page_url")).alias("trimmed_page_url"), "client_id")
-    made = base.withColumn("url_hash", urls.url_key(F.col("trimmed_page_url"))).groupBy("url_hash").agg(F.count(F.lit(1)).alias("access_hits"), F.min(F.struct("trimmed_page_url", "site", "client_id")).alias("r"))
-    return made.select("r.site", "r.trimmed_page_url", "r.client_id", "url_hash", "access_hits")
+    counts = base.groupBy("trimmed_page_url", "site", "client_id").agg(F.count(F.lit(1)).alias("n"))
+    least = F.min(F.struct(F.col("site").isin(*urls.PLACEHOLDERS).alias("last"), "site", "client_id")).alias("r")
+    made = counts.groupBy("trimmed_page_url").agg(F.sum("n").alias("access_hits"), least)
+    return made.select("r.site", "trimmed_page_url", "r.client_id", urls.url_key(F.col("trimmed_page_url")).alias("url_hash"), "access_hits")
 
 
 def lifetime_hits(log: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-    """Rows of the whole log by key; of some keys only, if given."""
-    hits = kept(log).groupBy(urls.url_key(urls.clean(F.col("trimmed_page_url"))).alias("url_hash")).agg(F.count(F.lit(1)).alias("lifetime_hits"))
-    return hits if keys is None else hits.join(keys.select("url_hash").where("url_hash is not null").distinct(), "url_hash", "left_semi")
+    """Rows of the whole log by key; of some keys only, if given.
+
+    With keys, rows are thinned by a bit map and then joined before they are counted, so the rest of the log isn't
+    shuffled.
+    """
+    rows = kept(log).select(urls.url_key(urls.clean(F.col("trimmed_page_url"))).alias("url_hash"))
+    if keys is not None:
+        wanted = keys.select("url_hash").where("url_hash is not null").distinct()
+        rows = thinned(rows, "url_hash", wanted).join(wanted, "url_hash", "left_semi")
+    return rows.groupBy("url_hash").agg(F.count(F.lit(1)).alias("lifetime_hits"))
+
+
+#: Bits of the map by which rows are thinned out before a join; it is 65,536 rows at most, whatever the input.
+MAP_BITS = 1 << 22
+
+
+def thinned(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """rows without most of those whose key wanted doesn't have; the exact join is still to follow."""
+    spot = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+    bits = wanted.select(spot.alias("spot")).groupBy(F.expr("spot div 64").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot % 64 as int))")).alias("_bits"))
+    marked = rows.withColumn("_spot", spot).withColumn("_word", F.expr("_spot div 64")).join(F.broadcast(bits), "_word")
+    return marked.where("shiftrightunsigned(_bits, cast(_spot % 64 as int)) & 1L = 1").drop("_word", "_spot", "_bits")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import RESULT_COLUMNS, STAGED_COLUMNS
@@ -12,22 +12,24 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], updates: dict[
     """target after a merge of source; in the expressions `t.` is a target row before it and `s.` a source row.
 
     Without inserts unmatched source rows are left out. Null keys match nothing. A target row that several source
-    rows match is an error, raised by the rows when they are read.
+    rows match is an error, raised when the rows are read. Source rows are counted where the join brings them anyway.
     """
-    s = source.withColumn("_s", F.lit(True)).alias("s")
+    s = source.withColumn("_s", F.count(F.lit(1)).over(Window.partitionBy(*keys))).alias("s")
     t = target.withColumn("_t", F.lit(True)).alias("t")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     joined = t.join(s, on, "full_outer" if inserts else "left")
     both = F.col("_t").isNotNull() & F.col("_s").isNotNull()
+    repeated = F.raise_error(F.lit(f"several source rows match a target row by {', '.join(keys)}")).cast("boolean")
+    joined = joined.where(F.when(both & (F.col("_s") > 1), repeated).otherwise(F.lit(True)))
     def value(c: str) -> Column:
         kept = F.when(both, updates[c]).otherwise(F.col(f"t.{c}")) if c in updates else F.col(f"t.{c}")
         return F.when(F.col("_t").isNull(), inserts.get(c, F.lit(None))).otherwise(kept) if inserts else kept
     return joined.select(*(value(c).alias(c) for c in target.columns))
 
 
-def repeated_keys(source: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that more than one source row has; a merge needs this empty."""
-    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def with_times(rows: DataFrame) -> DataFrame:
+    """rows with created_at and last_accessed as timestamps; what can't be read as one is null."""
+    return rows.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in ("created_at", "last_accessed")})
 
 
 def touch(results: DataFrame, touches: DataFrame, now: Column, bump_counts: bool = False) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from ..operators import batching, cache, classify, fetch, impressions, upsert
 from ..schemas import RESULT_COLUMNS, STAGED_COLUMNS
 from ..sources import bodies, partition, rows_of, table
 from ..sources import impressions as log_of
-from . import pipeline, sql
+from . import fixtures, pipeline, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,7 +45,7 @@ def valid(spark, d):
 def seed(spark, d):
     """The result table before the run: every third page classified, every next one without a topic."""
     b, page = bodies(spark, d).where("page_id % 3 < 2"), F.col("page_id")
-    first = F.element_at(F.array(*(F.lit(n) for n in classify.NAMES)), page.cast("int") % len(classify.NAMES) + 1)
+    first = F.element_at(F.array(*(F.lit(n) for n in fixtures.NAMES)), page.cast("int") % len(fixtures.NAMES) + 1)
     done, sure, day = page % 3 == 0, ((page * 37) % 101) / F.lit(100.0), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     made = {
         "created_at": day, "trimmed_page_url": F.col("bare"), "site": F.split_part("bare", F.lit("/"), F.lit(1)), "page_url": F.concat(F.lit("https://"), "bare"),
@@ -62,11 +64,11 @@ def staged(spark, d):
 
 
 def texts(spark, d):
-    return fetch.with_text(fetch.stored(staged(spark, d), bodies(spark, d)))
+    return fetch.with_text(fetch.stored(staged(spark, d), fixtures.answers(bodies(spark, d))))
 
 
 def rows(spark, d):
-    return classify.classified(texts(spark, d).withColumn("categories", classify.stand_in(F.col("page_id"))), now())
+    return classify.classified(fixtures.classified(texts(spark, d)), now())
 
 
 BASE = sql.cte(**sql.BASE)
@@ -202,10 +204,10 @@ def stage_merge(spark, d):
     return upsert.stage(before, after.select(*STAGED_COLUMNS))
 
 
-@query(sql.chain() + "SELECT url_hash, batch_id, CASE WHEN batch_index = 0 THEN page_text END AS page_text FROM texts")
+@query(sql.chain() + "SELECT url_hash, batch_id, page_text FROM texts")
 def attach_text_merge(spark, d):
     got = staged(spark, d).select(*STAGED_COLUMNS).withColumn("page_text", F.lit(None).cast("string"))
-    return upsert.attach_text(got, texts(spark, d).where("batch_index = 0").select("batch_id", "url_hash", "page_text")).select("url_hash", "batch_id", "page_text")
+    return upsert.attach_text(got, texts(spark, d).select("batch_id", "url_hash", "page_text")).select("url_hash", "batch_id", "page_text")
 
 
 @query(sql.chain() + "SELECT url_hash, page_text FROM texts WHERE batch_id = 'batch_0_run' AND page_text IS NOT NULL")
@@ -313,15 +315,39 @@ def reconcile_merge(spark, d):
     return upsert.reconcile(s, impressions.lifetime_hits(log_of(spark, d), cache.processed_keys(s)), now())
 
 
-@query(sql.chain("date = DATE '2024-01-07'", loaded=sql.best("touched", "classified"), final=sql.reconciled("loaded", "classified")) + f"SELECT {RES} FROM final")
+def one_day(spark, d, results, day, run_id):
+    config = pipeline.Config(day, run_id=run_id, batch_size=SIZE)
+    get = lambda rows_: fetch.stored(rows_, fixtures.answers(bodies(spark, d)))
+    return pipeline.run(log_of(spark, d), results, get, fixtures.classified, config, run_folder(spark))
+
+
+def run_folder(spark):
+    """A new folder for a run's tables in spark.checkpoint.dir, which all hosts share; a local session may do without."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir isn't set; it names the folder that all hosts share")
+    return f"{(shared or tempfile.mkdtemp(prefix='siteloom-')).rstrip('/')}/run-{uuid.uuid4().hex}"
+
+
+DAY1 = sql.chain("date = DATE '2024-01-07'", loaded=sql.best("touched", "classified"), final=sql.reconciled("loaded", "classified")) + f"SELECT {RES} FROM final"
+
+
+@query(DAY1)
 def pipeline_day1(spark, d):
-    return pipeline.run(log_of(spark, d), seed(spark, d), bodies(spark, d), pipeline.Config("2024-01-07", batch_size=SIZE))
+    return one_day(spark, d, seed(spark, d), "2024-01-07", "run")
 
 
-@query()
+@query(sql.chain("date = DATE '2024-01-08'", seed=DAY1, loaded=sql.best("touched", "classified"), final=sql.reconciled("loaded", "classified")) + f"SELECT {RES} FROM final")
 def pipeline_day2(spark, d):
     """The day after on the first one's table: only new keys are classified."""
-    return pipeline.run(log_of(spark, d), pipeline_day1(spark, d), bodies(spark, d), pipeline.Config("2024-01-08", run_id="next", batch_size=SIZE))
+    return one_day(spark, d, pipeline_day1(spark, d), "2024-01-08", "next")
+
+
+@query("SELECT event_id, try_cast(created_at AS TIMESTAMP) AS created_at, try_cast(last_accessed AS TIMESTAMP) AS last_accessed FROM (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'never' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS created_at, CASE WHEN event_id % 7 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS last_accessed FROM events)")
+def timestamp_coercion(spark, d):
+    text = lambda n, bad, form: F.when(F.col("event_id") % n == 0, F.lit(bad)).otherwise(F.date_format("ts", form))
+    rows_ = table(spark, d, "events").select("event_id", text(5, "never", "yyyy-MM-dd HH:mm:ss").alias("created_at"), text(7, "", "yyyy-MM-dd").alias("last_accessed"))
+    return upsert.with_times(rows_)
 
 
 @query("SELECT page_id, CASE WHEN page_id % 4 = 0 THEN true ELSE false END AS is_binary FROM pages")

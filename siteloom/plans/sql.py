@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from ..functions import pages, topics, urls
-from ..operators import classify
 from ..sources import IMPRESSIONS_SQL
+from .fixtures import NAMES
 
 NOW = "TIMESTAMP '2024-02-01 00:00:00'"
 WINDOW = "date >= DATE '2024-01-05' AND date < DATE '2024-01-15'"
@@ -24,7 +24,7 @@ def cte(**steps: str) -> str:
 
 def extract(where: str = "TRUE") -> str:
     return f"""SELECT site, trimmed_page_url, client_id, url_hash, access_hits FROM (
-      SELECT *, count(*) OVER (PARTITION BY url_hash) AS access_hits, row_number() OVER (PARTITION BY url_hash ORDER BY site, client_id) AS rn
+      SELECT *, count(*) OVER (PARTITION BY url_hash) AS access_hits, row_number() OVER (PARTITION BY url_hash ORDER BY site IN ({listed(urls.PLACEHOLDERS)}), site, client_id) AS rn
       FROM (SELECT lower(trim(site)) AS site, lower(trim(trimmed_page_url)) AS trimmed_page_url, client_id, sha256(lower(trim(trimmed_page_url))) AS url_hash
             FROM imp WHERE site IS NOT NULL AND trimmed_page_url IS NOT NULL AND client_id NOT LIKE '%Demo%' AND ({where}))) WHERE rn = 1"""
 
@@ -54,7 +54,7 @@ def map_topic(topic: str) -> str:
 
 
 def name(k: int) -> str:
-    return f"[{listed(classify.NAMES)}][(page_id + {k}) % {len(classify.NAMES)} + 1]"
+    return f"[{listed(NAMES)}][(page_id + {k}) % {len(NAMES)} + 1]"
 
 
 def sure(k: int) -> str:
@@ -76,21 +76,24 @@ def batched(size: int, run_id: str = "run") -> str:
     return f"SELECT *, {q(run_id)} AS run_id, ('batch_' || batch_index || '_{run_id}') AS batch_id FROM (SELECT *, CAST((row_number() OVER (ORDER BY url_hash) - 1) // {size} AS BIGINT) AS batch_index FROM fresh)"
 
 
+#: The character references that the pages have.
+ENTITIES = (("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
+
 def is_html(body: str) -> str:
     return f"regexp_matches(lower(substring({body}, 1, {pages.SNIFFED})), {q('|'.join(pages.HTML_MARKS))})"
 
 
 def visible(body: str) -> str:
-    bare = f"regexp_replace({body}, '(?is)<(script|style|noscript)\\b[^>]*>.*?</(script|style|noscript)\\s*>', '', 'g')"
-    bare = f"regexp_replace(regexp_replace({bare}, '(?s)<!--.*?-->', '', 'g'), '(?s)<[^>]*>', chr(1), 'g')"
+    bare = f"regexp_replace(regexp_replace({body}, {q(pages.UNSEEN)}, chr(1), 'g'), {q(pages.TAG)}, chr(1), 'g')"
     node = "x"
-    for a, b in pages.ENTITIES:
+    for a, b in ENTITIES:
         node = f"replace({node}, {q(a)}, {q(b)})"
-    return f"CASE WHEN {is_html(body)} AND NOT starts_with({body}, '[ERROR') THEN array_to_string(list_filter(list_transform(string_split({bare}, chr(1)), lambda x: regexp_replace({node}, '^\\s+|\\s+$', '', 'g')), lambda x: x <> ''), ' ') ELSE '' END"
+    return f"CASE WHEN {is_html(body)} AND NOT starts_with({body}, '[ERROR') THEN array_to_string(list_filter(list_transform(string_split({bare}, chr(1)), lambda x: regexp_replace({node}, {q(f'^{pages.SPACE}+|{pages.SPACE}+$')}, '', 'g')), lambda x: x <> ''), ' ') ELSE '' END"
 
 
 def n_words(text: str) -> str:
-    return f"len(list_filter(regexp_split_to_array(coalesce({text}, ''), '[\\s\\x1c-\\x1f]+'), lambda x: x <> ''))"
+    return f"len(list_filter(regexp_split_to_array(coalesce({text}, ''), {q(pages.SPACE + '+')}), lambda x: x <> ''))"
 
 
 TEXTS = f"SELECT * EXCLUDE (body), {visible('body')} AS page_text FROM (SELECT b.*, p.page_id, CASE WHEN p.html IS NULL THEN '[ERROR] All methods failed' WHEN p.page_id % 19 = 0 THEN '[SKIP:404]' ELSE p.html END AS body FROM batched b LEFT JOIN bodies p USING (url_hash))"
@@ -125,4 +128,5 @@ BASE = {"imp": IMPRESSIONS_SQL.strip(), "bodies": BODIES, "seed": SEED, "keys":
 
 def chain(where: str = WINDOW, size: int = 100, **more: str) -> str:
     """All steps up to classified rows, then more."""
-    return cte(**BASE, ext=extract(where), hosts=HOSTS, reasons=REASONS, valid=VALID, counted=COUNTED, fresh=FRESH, touches=TOUCHES, batched=batched(size), texts=TEXTS, classified=CLASSIFIED, touched=TOUCHED, life=LIFETIME, **more)
+    base = BASE | {k: more.pop(k) for k in list(more) if k in BASE}
+    return cte(**base, ext=extract(where), hosts=HOSTS, reasons=REASONS, valid=VALID, counted=COUNTED, fresh=FRESH, touches=TOUCHES, batched=batched(size), texts=TEXTS, classified=CLASSIFIED, touched=TOUCHED, life=LIFETIME, **more)

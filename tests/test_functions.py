@@ -1,5 +1,8 @@
 """Literal vectors and invariants."""
 
+import html.parser
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,21 +65,226 @@ def test_null_keys_in_split(spark):
     assert [tuple(r) for r in touches.collect()] == [("c", 1)]
 
 
+R = fetch.Response
+
+
+def raising(error):
+    def get(url, attempt):
+        raise error
+    return get
+
+
 def test_fetch_cascade():
     waits, calls = [], []
+
     def busy(url, attempt):
         calls.append(attempt)
-        return (503, "")
-    assert fetch.fetch_one("u", [busy, lambda u, a: (200, "ok")], waits.append) == "ok"
-    assert calls == [0, 1, 2] and len(waits) == 2
-    assert fetch.fetch_one("u", [lambda u, a: (404, "")], waits.append) == "[SKIP:404]"
-    assert fetch.fetch_one("u", [lambda u, a: None], lambda s: None) == fetch.FAILED
+        return R(503, retry_after=9.0 if attempt else 0.0)
+
+    body = fetch.lenient(lambda u, a: R(200, "ok"))
+    assert fetch.fetch_one("u", [fetch.Client(busy), body], waits.append) == "ok"
+    assert calls == [0, 1, 2] and 0.375 <= waits[0] <= 1.125 and waits[1] == 9.0
+    assert fetch.fetch_one("u", [fetch.Client(lambda u, a: R(404)), body]) == "[SKIP:404]"
+    assert fetch.fetch_one("u", [fetch.Client(raising(fetch.CertificateError())), body]) == fetch.BAD_CERTIFICATE
+    waits.clear()
+    assert fetch.fetch_one("u", [fetch.Client(raising(TimeoutError()))], waits.append) == fetch.FAILED
+    assert len(waits) == 2 and 0.25 <= waits[0] <= 0.75 and 0.5 <= waits[1] <= 1.5
+    assert fetch.fetch_one("u", [fetch.Client(raising(ValueError())), body], waits.append) == "ok" and len(waits) == 2
+    assert fetch.fetch_one("u", [fetch.Client(lambda u, a: R(200, "")), body]) == "ok"
+
+
+def test_second_and_last_clients():
+    seen = []
+
+    def once(url, attempt):
+        seen.append(attempt)
+        return R(503) if attempt == 0 else R(404)
+
+    show = lambda status, body: fetch.browser(lambda u, a: R(status, body))
+    wait = lambda s: None
+    assert fetch.fetch_one("u", [fetch.lenient(once), show(200, "page")], wait) == "page" and seen == [0, 1]
+    assert fetch.fetch_one("u", [fetch.lenient(raising(OSError())), show(500, "page")], wait) == "page"
+    assert fetch.fetch_one("u", [show(410, "gone")]) == "[SKIP:404]"
+    assert fetch.fetch_one("u", [show(403, "no")]) == fetch.BLOCKED and fetch.fetch_one("u", [show(401, "x" * 20_000)]) == "x" * 20_000
+    assert fetch.fetch_one("u", [show(403, "x" * 12_000 + "Captcha")]) == fetch.BLOCKED
+    assert fetch.fetch_one("u", [show(200, "page")], public=False) == fetch.NOT_PUBLIC
+    assert fetch.fetch_one("u", [fetch.lenient(lambda u, a: R(200, "ok")), show(200, "page")], public=False) == "ok"
 
 
 def test_fetch_in_spark(spark):
-    rows = spark.createDataFrame([("https://a.com/x",), ("https://a.com/x",), ("https://b.test/",)], "page_url string")
-    got = {r.url: r.body for r in fetch.fetch(rows, [lambda u, a: (200, "body of " + u)]).collect()}
+    rows = spark.createDataFrame([("https://a.com/x",), ("https://a.com/x",), ("https://b.test/",), (None,)], "page_url string")
+    plain, shown = fetch.Client(lambda u, a: R(200, "body of " + u) if "a.com" in u else R(503), retries=0), fetch.browser(lambda u, a: R(200, "shown"))
+    got = {r.url: r.body for r in fetch.fetch(rows.where("page_url is not null"), [plain, shown]).collect()}
     assert got == {"https://a.com/x": "body of https://a.com/x", "https://b.test/": fetch.NOT_PUBLIC}
+    assert sorted(r.body for r in fetch.fetched(rows.limit(3), [plain, shown]).collect()) == ["[ERROR] Internal/non-public domain", "body of https://a.com/x", "body of https://a.com/x"]
+
+
+def test_a_host_at_a_time():
+    """A task asks for eight addresses at a time, two of a host."""
+    import threading
+    import time as clock
+
+    lock, now, most = threading.Lock(), {}, {}
+
+    def get(url, attempt):
+        host = url.split("/")[2]
+        with lock:
+            now[host] = now.get(host, 0) + 1
+            now["all"] = now.get("all", 0) + 1
+            for k in (host, "all"):
+                most[k] = max(most.get(k, 0), now[k])
+        clock.sleep(0.01)
+        with lock:
+            now[host] -= 1
+            now["all"] -= 1
+        return R(200, str(max([v for k, v in most.items() if k != "all"])) + " " + str(most["all"]))
+
+    part = pd.DataFrame({"url": [f"https://h{i % 3}.com/{i}" for i in range(60)], "_public": True, "_host": [f"h{i % 3}.com" for i in range(60)]})
+    got = [tuple(map(int, b.split())) for made in fetch.answers([fetch.Client(get)], lambda s: None)(iter([part, part])) for b in made["body"]]
+    assert len(got) == 120 and max(a for a, _ in got) == 2 and 2 < max(b for _, b in got) <= 8
+
+
+def test_answers_of_a_busy_classifier():
+    now, calls = [0.0], []
+
+    def late(text, seconds):
+        calls.append(seconds)
+        now[0] += 5
+        raise classify.Busy
+
+    wait = lambda s: now.__setitem__(0, now[0] + s)
+    assert classify.answer("t", late, lambda: now[0], wait) is None and 2 < len(calls) <= 13 and now[0] < 66
+    assert classify.answer("t", lambda t, s: [], lambda: now[0], wait) == []
+
+    def wrong(text, seconds):
+        raise ValueError
+
+    assert classify.answer("t", wrong, lambda: now[0], wait) is None
+
+
+def test_each_text_is_classified_once(spark, tmp_path):
+    from siteloom.plans import pipeline
+
+    log = spark.createDataFrame([("2024-01-07", f"s{i % 9}.com", f"s{i % 9}.com/p{i % 20}", "c") for i in range(200)], "date string, site string, trimmed_page_url string, client_id string").withColumn("date", F.to_date("date"))
+    from siteloom.schemas import RESULT
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def classifier(text, seconds):
+        calls.add(1)
+        return [{"name": "/Sports/", "confidence": 0.9}]
+
+    page = "<html>" + "word " * 30 + "</html>"
+    bodies = lambda rows: fetch.fetched(rows, [fetch.Client(lambda u, a: R(200, page))])
+    run = lambda results, run_id: pipeline.run(log, results, bodies, lambda rows: classify.remote(rows, classifier, rps=1e6), pipeline.Config("2024-01-07", run_id=run_id), str(tmp_path))
+    first = run(spark.createDataFrame([], RESULT), "a")
+    n = log.select("trimmed_page_url").distinct().count()
+    assert first.count() == n and {r.content_topic for r in first.collect()} == {"/Sports/"} and calls.value == n
+    again = run(first, "b")
+    assert again.count() == n and sum(r.view_count for r in again.collect()) == 200 and calls.value == n
+
+
+def test_settings():
+    import datetime
+
+    from siteloom.plans import pipeline
+
+    now = datetime.datetime(2024, 3, 1, 3, tzinfo=datetime.UTC)  # still February in the zone
+    got = pipeline.resolved({"batch_size": "7"}, {"batch_size": 5, "end_date": "2024-02-20", "skip_reconcile": True}, now, "r")
+    assert got == pipeline.Config("2024-02-19", "2024-02-20", "r", "2024-03-01 03:00:00", 7, 900, True)
+    assert pipeline.resolved(now=now).end == "2024-02-29" and pipeline.new_run_id(now, "0123abcd") == "20240301T030000Z_0123abcd"
+
+
+def test_repeated_source_keys_raise(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    source = spark.createDataFrame([("a", 5), ("c", 6), ("c", 7), (None, 8), (None, 9)], "k string, v int")
+    got = upsert.upsert(target, source, ["k"], {"v": F.col("s.v")}, {"k": F.col("s.k"), "v": F.col("s.v")})
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", 5), ("b", 2), (None, 3), ("c", 6), ("c", 7), (None, 8), (None, 9)], key=str)
+    with pytest.raises(Exception, match="several source rows"):
+        upsert.upsert(target, source.union(source), ["k"], {"v": F.col("s.v")}).count()
+
+
+def test_representative_row_and_plans(spark):
+    from siteloom.operators import impressions
+
+    log = spark.createDataFrame([("(Not Set)", "A.com/x", "c1"), (" a.com", "a.com/x ", "c2"), ("a.com", "a.com/x", "c1"), ("none", "b.com", "c"), ("x.com", None, "c")], "site string, trimmed_page_url string, client_id string").withColumn("date", F.to_date(F.lit("2024-01-07")))
+    made = impressions.dedupe_with_hits(log)
+    assert sorted((r.trimmed_page_url, r.site, r.client_id, r.access_hits) for r in made.collect()) == [("a.com/x", "a.com", "c1", 3), ("b.com", "none", "c", 1)]
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[trimmed_page_url" in plan
+    keys = made.where("access_hits = 3")
+    assert [r.lifetime_hits for r in impressions.lifetime_hits(log, keys).collect()] == [3]
+    rows = spark.createDataFrame([("k", "x")], "url_hash string, page_url string")
+    assert "Join" not in cache.with_dup_hits(rows)._jdf.queryExecution().executedPlan().toString()
+
+
+class _Text(html.parser.HTMLParser):
+    """Visible text by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.nodes, self.hidden = [""], []
+
+    def handle_starttag(self, tag, attrs):
+        self.nodes.append("")
+        if tag in ("script", "style", "noscript"):
+            self.hidden.append(tag)
+
+    def handle_startendtag(self, tag, attrs):
+        self.nodes.append("")
+
+    def handle_endtag(self, tag):
+        self.nodes.append("")
+        if self.hidden and tag in self.hidden:
+            del self.hidden[self.hidden.index(tag) :]
+
+    def handle_comment(self, data):
+        self.nodes.append("")
+
+    handle_decl = handle_comment
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.nodes[-1] += data
+
+
+def test_visible_text(spark):
+    pages_ = [
+        "<html><noscript><style>x</style>secret</noscript>a&hellip;b &#x27;c&#39; &eacute;t&eacute; &copy; 2020 &amp;lt; &#8212;&#150; &nosuch; &</html>", "<html><p>one<b>two</b> 3 < 4 & 5 > 2</p><!-- <p>no</p> --><script>if (a</b) '<p>x</p>'</script>end",
+        "<html><body>&nbsp;<p> \u3000wide\xa0</p>\x1c</body>", "<html><br/>x<br>y<SCRIPT type='a'>z</SCRIPT >w&#0;&#xD800;&#1114112;&#128512;", "<html>open <style>rest", "no page", "[ERROR] <html>x", None, "",
+    ]
+    got = [r[0] for r in spark.createDataFrame(list(enumerate(pages_)), "i int, b string").orderBy("i").select(pages.visible_text(F.col("b"))).collect()]
+
+    def plain(body):
+        if not body or body.startswith("[ERROR") or "<html" not in body:
+            return ""
+        parser = _Text()
+        parser.feed(body)
+        parser.close()
+        return " ".join(x.strip() for x in parser.nodes if x.strip())
+
+    assert got == [plain(b) for b in pages_]
+
+
+def test_words_are_split_like_str(spark):
+    texts = ["a\xa0b\u2003c\x1cd\x85e", "  ", "", None, "é x"]
+    got = [r[0] for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(pages.word_count(F.col("t"))).collect()]
+    assert got == [len((t or "").split()) for t in texts]
+
+
+def test_streams(spark, tmp_path):
+    from siteloom import streaming
+
+    rows = [("2024-01-07 10:00:00", "a.com", "a.com/x", "c"), ("2024-01-07 11:00:00", "a.com", "A.com/x", "c"), ("2024-01-09 10:00:00", "a.com", "a.com/y", "c"), ("2024-01-12 10:00:00", "a.com", None, "c")]
+    log = spark.createDataFrame(rows, "ts string, site string, trimmed_page_url string, client_id string").withColumn("ts", F.to_timestamp("ts"))
+    log.coalesce(1).write.parquet(str(tmp_path / "log"))
+    stream = lambda: spark.readStream.schema(log.schema).parquet(str(tmp_path / "log"))
+    seen = []
+    streaming.each_batch(stream(), lambda df, i: seen.append((i, df.count())), str(tmp_path / "c1")).awaitTermination()
+    assert seen == [(0, 4)]
+    hits = streaming.hits_by_window(stream()).writeStream.format("memory").queryName("hits").outputMode("complete").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
+    hits.awaitTermination()
+    assert sorted((str(r.window.start.date()), r.hits) for r in spark.table("hits").collect()) == [("2024-01-07", 2), ("2024-01-09", 1)]
 
 
 def test_rate_limiter():
