@@ -24,14 +24,15 @@ from .common import cut, small_batches
 WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of the beginnings of words that are features beside whole words.
 STEMS = (6, 5, 4, 3)
-#: Least |z| of a feature, and documents of one class that it must stand in.
-LEAST_Z, LEAST_DOCS = 3.0, 2
+#: Features that so many documents of one class have are candidates. One is significant if chance would give less than
+#: FALSE features as clear among all candidates, so what that takes follows from the sample's size.
+LEAST_DOCS, FALSE = 2, 1.0
 #: Least log-odds of a feature: a passage consists of clear words, and others keep it short.
 LEAST_ODDS = 2.0
 #: Prior strength as a share of all counts; cost of a word without a feature.
 PRIOR, NEUTRAL = 0.1, 1.0
-#: Labelled rows used at most, the share taken by a hash of the id, and features kept at most.
-TRAIN_ROWS, FEATURES = 20_000, 50_000
+#: Labelled rows used at most, the share taken by a hash of the id.
+TRAIN_ROWS = 20_000
 #: A passage is significant if as good a one turns up in fewer than this many of as long clean documents.
 E_VALUE = 0.05
 REMEMBERED = 300_000
@@ -158,22 +159,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, fold: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model from the labelled rows of docs; fold (0 or 1) halves them for the curve.
 
-    Labels other than 0 and 1 are left out. Without rows of both classes the model gives every text a score near 0.
+    Labels other than 0 and 1 are left out; of an id with both the toxic one counts. Without rows of both classes the model gives every text a score near 0.
     Above TRAIN_ROWS labelled rows a share of them is used, chosen by a hash of the id.
     """
     small_batches(docs.sparkSession)
-    known = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("toxic"))
+    known = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("toxic"))
     n = known.count()
     if n > TRAIN_ROWS:
-        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1e6 * TRAIN_ROWS / n))
-    known = F.broadcast(known.dropDuplicates(["id"]))  # TRAIN_ROWS at most, but for the hash's chance
-    rows = docs.join(known, F.col(doc_id) == F.col("id")).select(F.col(text).alias("text"), fold.cast("int").alias("fold"), "toxic")
-    rows = rows.where("fold is not null")
+        known = known.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(1e6 * TRAIN_ROWS / n))
+    known = F.broadcast(known.groupBy("_id").agg(F.max("toxic").alias("toxic")))  # TRAIN_ROWS at most, but for the hash's chance
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), fold.cast("int").alias("fold"))
+    rows = rows.join(known, "_id").select("text", "fold", "toxic").where("fold is not null")
+    texts = {(r["toxic"], r["fold"]): r["count"] for r in rows.groupBy("toxic", "fold").count().collect()}
+    texts |= {(y, 2): sum(n for (z, _), n in texts.items() if z == y) for y in (0, 1)}
     raw = rows.mapInArrow(_counts, "feature string, fold int, toxic int, n long, docs long")
     part = lambda what, y, f: F.sum(F.when((F.col("toxic") == y) & ((F.col("fold") == f) if f < 2 else F.lit(True)), F.col(what)).otherwise(0))
     cells = [(y, f) for y in (0, 1) for f in (0, 1, 2)]
     wide = raw.groupBy("feature").agg(*(part("n", y, f).alias(f"n{y}{f}") for y, f in cells), *(part("docs", y, f).alias(f"d{y}{f}") for y, f in cells))
-    wide = cut(wide.where(f"greatest(d02, d12) >= {LEAST_DOCS}"))
+    wide = cut(wide.where(f"d12 >= {LEAST_DOCS} or (feature like '%$' and d02 >= {LEAST_DOCS})"))
     sums = wide.where("feature like '%$'").agg(*(F.sum(f"n{y}{f}") for y, f in cells)).first()
     total = {c: float(s or 0) for c, s in zip(cells, sums, strict=True)}
     scored = wide
@@ -182,11 +185,14 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, doc_id: str = "doc_id"
             return Model({})
         a = (F.col(f"n0{f}") + F.col(f"n1{f}")) * PRIOR
         odds = lambda y: (F.col(f"n{y}{f}") + a) / F.greatest(F.lit(total[y, f] + PRIOR * (total[0, f] + total[1, f])) - F.col(f"n{y}{f}") - a, F.lit(1.0))
-        there = F.greatest(f"d0{f}", f"d1{f}") >= LEAST_DOCS
-        scored = scored.withColumns({f"w{f}": F.when(there, F.log(odds(1)) - F.log(odds(0)))}).withColumn(f"z{f}", F.when(there, F.abs(f"w{f}") / F.sqrt(1 / (F.col(f"n1{f}") + a) + 1 / (F.col(f"n0{f}") + a))))
-    z = F.greatest(*(F.coalesce(f"z{f}", F.lit(0.0)) for f in (0, 1, 2)))
-    clear = lambda f: (F.col(f"z{f}") >= LEAST_Z) & (F.col(f"w{f}") >= LEAST_ODDS)
-    got = scored.where(z >= LEAST_Z).select("feature", *(F.when(clear(f), F.col(f"w{f}")).alias(f"w{f}") for f in (0, 1, 2))).orderBy(z.desc(), "feature").limit(FEATURES).collect()
+        # How unlikely it is, by Chernoff's bound, that as many of the documents with a feature are toxic by chance.
+        toxic, both, share = F.col(f"d1{f}"), F.col(f"d0{f}") + F.col(f"d1{f}"), texts[1, f] / (texts[0, f] + texts[1, f])
+        own = toxic / both
+        bits = both * (own * F.log(own / share) + F.when(own < 1, (1 - own) * F.log((1 - own) / (1 - share))).otherwise(0.0))
+        scored = scored.withColumns({f"w{f}": F.log(odds(1)) - F.log(odds(0)), f"s{f}": F.when((toxic >= LEAST_DOCS) & (own > share), bits).otherwise(0.0)})
+    enough = float(np.log(max(wide.count(), 1) / FALSE))
+    clear = lambda f: (F.col(f"s{f}") >= enough) & (F.col(f"w{f}") >= LEAST_ODDS)
+    got = scored.where(clear(0) | clear(1) | clear(2)).select("feature", *(F.when(clear(f), F.col(f"w{f}")).alias(f"w{f}") for f in (0, 1, 2))).orderBy("feature").collect()
     by = [{r["feature"]: r[f"w{f}"] for r in got if r[f"w{f}"] is not None} for f in (0, 1, 2)]
     trained = rows.mapInArrow(_best({0: by[1], 1: by[0]}), "toxic int, size long, found array<double>").collect()
     model = Model(by[2])
