@@ -207,7 +207,7 @@ def test_quality_keeps_clean(spark, monkeypatch):
     got = {r.doc_id: r for r in quality.judge(df, model).collect()}
     assert all(got[i].kept for i in range(60)) and not any(got[i].kept for i in range(60, 80))
     assert quality.judge(df.limit(0), model).count() == 0
-    monkeypatch.setattr(quality, "LOOKUP", 0)
+    monkeypatch.setattr(quality, "BROADCAST", 0)
     assert {r.doc_id: r for r in quality.judge(df, model).collect()} == got
     none = quality.weights(df, df.limit(0))
     assert all(r.llr == 0 and r.kept == (not r.base_failed) for r in quality.judge(df, none).collect())
@@ -217,7 +217,8 @@ def test_quality_against_plain_counts(spark):
     """The ratios and the verdict from counts made in plain Python."""
     df = docs_of(spark, [prose(60, i) for i in range(90)] + [None, "", "one"])
     model = quality.weights(df, df.where("doc_id < 45"))
-    told = {r.doc_id: (r.g, r.h) for r in df.select("doc_id", quality.grams(quality.words(F.col("text")), model.buckets).alias("g"), (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(quality.HELD)) == 0).alias("h")).collect()}
+    own = {r.doc_id: r.g for r in quality.grams(df, "text", model.buckets, "doc_id").groupBy("doc_id").agg(F.collect_list("bucket").alias("g")).collect()}
+    told = {r.doc_id: (own.get(r.doc_id, []), r.h) for r in df.select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(quality.HELD)) == 0).alias("h")).collect()}
     counted = {i: own for i, (own, _) in told.items()}
     every, some = (collections.Counter(g for i, own in counted.items() for g in own if i in of) for of in (told, {i for i, (_, h) in told.items() if i < 45 and not h}))
     raw, own = sum(every.values()), sum(some.values())
