@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from .common import components, cut
 
-#: Rows that the codebooks and the number of visited cells are fitted on, at most; rows of a block.
-SAMPLE, BLOCK = 4_000, 512
-#: Vectors that a cell is to hold on average, cells visited at most, and recall on the sample.
-PER_CELL, MOST_VISITED, RECALL = 32, 256, 0.99
+#: Rows that the codebooks and the number of visited cells are fitted on, and of each length; rows of a block.
+SAMPLE, LEAST, BLOCK = 4_000, 64, 512
+#: Vectors that a cell is to hold on average, and recall on the sample: as many cells are visited as that takes.
+PER_CELL, RECALL = 32, 0.995
 
 
 def unit(vector) -> np.ndarray | None:
@@ -28,8 +28,11 @@ def unit(vector) -> np.ndarray | None:
     if vector is None or any(x is None for x in vector):
         return None
     x = np.asarray(vector, float)
-    n = float(np.sqrt(x @ x)) if len(x) else 0.0
-    return x / n if 0 < n < np.inf else None
+    most = float(np.abs(x).max(initial=0.0))
+    if not 0 < most < np.inf:  # nor is it NaN
+        return None
+    x = x / most  # squares stay within range
+    return x / np.sqrt(x @ x)
 
 
 def _codes(rows: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
@@ -71,7 +74,7 @@ class Index:
         k = int(np.clip(np.sqrt(rows / PER_CELL), 1, max(1, len(sample) // 4)))
         self.books = [_codes(x, k, s) for s, x in enumerate(self.halves(sample))]
         self.visits = 1
-        cells, order = self.cells(sample), None
+        cells = self.cells(sample)
         close = sample @ sample.T >= limit
         np.fill_diagonal(close, False)
         has = np.flatnonzero(close.any(1))[:500]
@@ -83,12 +86,12 @@ class Index:
         far = limit * sample[:500] + np.sqrt(max(0.0, 1 - limit * limit)) * noise
         wanted = [(sample[i], set(cells[close[i]].tolist())) for i in has] + [(x, {int(c)}) for x, c in zip(far, cells[:500], strict=True)]
         places = []
-        for x, goal in wanted:
-            order = self.visit(x[None], MOST_VISITED)[0]
-            place = {c: i for i, c in enumerate(order)}
-            places += [place.get(c, MOST_VISITED) for c in goal]
+        for x, goal in wanted:  # cells that are as near or nearer
+            da, db = (_squares(h, b)[0] for h, b in zip(self.halves(x[None]), self.books, strict=True))
+            sums = (da[:, None] + db).ravel()
+            places += [int((sums <= sums[c]).sum()) for c in goal]
         if places:
-            self.visits = int(np.clip(np.quantile(places, RECALL, method="higher") + 1, 1, MOST_VISITED))
+            self.visits = max(1, int(np.quantile(places, RECALL, method="higher")))
 
     def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return x[:, : self.half], x[:, self.half :]
@@ -97,9 +100,9 @@ class Index:
         i, j = (_squares(h, b).argmin(1) for h, b in zip(self.halves(x), self.books, strict=True))
         return i * len(self.books[1]) + j
 
-    def visit(self, x: np.ndarray, n: int | None = None) -> list[list[int]]:
+    def visit(self, x: np.ndarray) -> list[list[int]]:
         da, db = (_squares(h, b) for h, b in zip(self.halves(x), self.books, strict=True))
-        return [traversal(a, b, n or self.visits) for a, b in zip(da, db, strict=True)]
+        return [traversal(a, b, self.visits) for a, b in zip(da, db, strict=True)]
 
 
 def _raw(kind: str):
@@ -114,27 +117,32 @@ def _raw(kind: str):
 
 def _units(raw: list[bytes], kind: str) -> np.ndarray:
     x = np.frombuffer(b"".join(raw), kind).astype(float).reshape(len(raw), -1)
+    x = x / np.abs(x).max(1)[:, None]
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def _placed(index: Index, kind: str):
-    """Each vector once as a member, at its cell, and once as a visitor for each first code among the cells it visits."""
+def _placed(indexes: dict[int, tuple[int, Index]], kind: str):
+    """Each vector once as a member, at its cell, and once as a visitor for each first code among the cells it visits.
+
+    indexes has an index for each length in bytes, and the number that its first codes start at.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = len(index.books[1])
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _units(batch["raw"].to_pylist(), kind)
+            raw = batch["raw"].to_pylist()
             at, first, seconds, visitor = [], [], [], []
-            for r, (own, visits) in enumerate(zip(index.cells(x).tolist(), index.visit(x), strict=True)):
-                by: dict[int, list[int]] = {}
-                for c in visits:
-                    by.setdefault(c // wide, []).append(c % wide)
-                for i, js, v in [(own // wide, [own % wide], False), *((i, js, True) for i, js in by.items())]:
-                    at.append(r)
-                    first.append(i)
-                    seconds.append(js)
-                    visitor.append(v)
+            for size in sorted({len(r) for r in raw}):
+                rows = [r for r, x in enumerate(raw) if len(x) == size]
+                start, index = indexes[size]
+                wide, x = len(index.books[1]), _units([raw[r] for r in rows], kind)
+                for r, own, visits in zip(rows, index.cells(x).tolist(), index.visit(x), strict=True):
+                    by: dict[int, list[int]] = {}
+                    for c in visits:
+                        by.setdefault(c // wide, []).append(c % wide)
+                    for i, js, v in [(own // wide, [own % wide], False), *((i, js, True) for i, js in by.items())]:
+                        at.append(r)
+                        first.append(start + i)
+                        seconds.append(js)
+                        visitor.append(v)
             yield pa.RecordBatch.from_arrays(
                 [batch["cid"].take(pa.array(at)), batch["raw"].take(pa.array(at)), pa.array(first, pa.int32()), pa.array(seconds, pa.list_(pa.int32())), pa.array(visitor)],
                 names=["cid", "raw", "first", "seconds", "visitor"])
@@ -185,25 +193,33 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
 
     Vectors whose cosine is at least limit are linked if the search finds them. n_links counts other rows, equal
     vectors included; component_id is the smallest vec_id reachable. Vectors that are null, empty, zero or hold
-    null or non-finite components link with nothing, and so do those of another length than most of the fitting
-    sample. Equal vectors are one class, compared once. The index is fitted on about SAMPLE classes at most, chosen
-    by a hash; every vector is in it. An empty table gives no rows; other columns are ignored.
+    null or non-finite components link with nothing. Vectors of each length have an index of their own and are compared
+    among themselves; equal vectors are one class, compared once. Rows that share a vec_id are rows of their own. The
+    indexes are fitted on about SAMPLE classes altogether, chosen by a hash, but on LEAST of each length that has so
+    many; every vector is in one. An empty table gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
     kind = "<f4" if dict(vectors.dtypes)[embedding] == "array<float>" else "<f8"
     rows = cut(vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("embedding")).mapInArrow(_raw(kind), f"vec_id {dict(vectors.dtypes)[vec_id]}, raw binary"))
     classes = cut(rows.where("raw is not null").groupBy("raw").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least"))).withColumn("cid", F.monotonically_increasing_id())
-    count = classes.count()
-    part = classes.where(F.pmod(F.xxhash64("raw"), F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE / max(count, 1)))).select("raw")
-    sample = [r[0] for r in part.limit(2 * SAMPLE).collect()]
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if not sample:
-        named = classes.select("raw", (F.col("n") - 1).alias("n_links"), F.col("least").alias("component_id"))
-        return _named(rows, named) if count else alone
-    sizes = [len(r) for r in sample]
-    size = max(set(sizes), key=sizes.count)
-    index = Index(_units([r for r in sample if len(r) == size], kind), count, limit)
-    placed = cut(classes.where(F.octet_length("raw") == size).select("cid", "raw").mapInArrow(_placed(index, kind), "cid long, raw binary, first int, seconds array<int>, visitor boolean"))
+    size = F.octet_length("raw")
+    counts = {r[0]: r[1] for r in classes.groupBy(size.alias("size")).count().collect()}  # a row for each length
+    whole = sum(counts.values())
+    most = lambda n: min(n, max(LEAST, SAMPLE * n // whole))
+    wanted = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, int(1e6 * most(n) / n)))) if counts else F.lit(None)
+    sample: dict[int, list[bytes]] = {}
+    for r in classes.where(F.pmod(F.xxhash64("raw"), F.lit(1_000_000)) < F.try_element_at(wanted, size)).select("raw").collect() if counts else []:
+        sample.setdefault(len(r[0]), []).append(bytes(r[0]))
+    if missing := [k for k in counts if k not in sample]:  # by the hash's chance
+        for r in classes.where(size.isin(missing)).groupBy(size).agg(F.min("raw")).collect():
+            sample[r[0]] = [bytes(r[1])]
+    indexes: dict[int, tuple[int, Index]] = {}
+    codes = 0
+    for k in sorted(sample):
+        index = Index(_units(sample[k], kind), counts[k], limit)
+        indexes[k] = (codes, index)
+        codes += len(index.books[0])
+    placed = cut(classes.select("cid", "raw").mapInArrow(_placed(indexes, kind), "cid long, raw binary, first int, seconds array<int>, visitor boolean"))
     held = placed.where("not visitor").groupBy("first").agg(F.ceil(F.count(F.lit(1)) / (8 * BLOCK)).cast("int").alias("blocks"))
     dealt = placed.join(F.broadcast(held), "first")  # a row for each code of one codebook
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
