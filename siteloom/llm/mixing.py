@@ -6,13 +6,15 @@ marginals are the targets; a document is then drawn with the probability that it
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, words
 
-#: Sweeps at most, and the largest relative error of a marginal at which raking ends.
-SWEEPS, ERROR = 40, 1e-6
+#: Sweeps at most, how many of them make one job, and the largest relative error of a marginal at which raking ends.
+SWEEPS, AT_ONCE, ERROR = 60, 5, 1e-6
 #: Topics, told from which share of a text's words hashes to each.
 TOPICS = 8
 
@@ -30,12 +32,13 @@ def tempered(cells: DataFrame, dim: str, power: float) -> DataFrame:
     return got.crossJoin(got.agg(F.sum("p").alias("all"))).select(dim, (F.col("p") / F.col("all")).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], most: float | None = None) -> DataFrame:
     """cells with a `weight` whose marginals are the targets' shares of all tokens.
 
     cells has the dimensions and `tokens` > 0. A value without a target keeps no weight; a target without cells is
     left out and the others scaled up. Cells are few beside rows: a sweep's windows hold those of one value of a
-    dimension, never documents. Ends when no factor is further than ERROR from 1.
+    dimension, never documents. Ends when no factor is further than ERROR from 1; a warning says if SWEEPS don't get
+    there. With most, no cell weighs more than so many times its tokens, and the others of its values make up for it.
     """
     dims = list(targets)
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
@@ -47,34 +50,43 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     for one in [whole, *there]:
         now = now.crossJoin(F.broadcast(one))  # a row each
     now = cut(now.select(*cells.columns, "weight", *((F.coalesce(f"_{d}", F.lit(0.0)) / F.col(f"_all_{d}") * F.col("_whole")).alias(f"_{d}") for d in dims)))
-    for _ in range(SWEEPS):
+    for sweep in range(1, SWEEPS + 1):
         for d in dims:
             held = F.sum("weight").over(Window.partitionBy(d))
             now = now.withColumn("_f", F.when(held > 0, F.col(f"_{d}") / held).otherwise(0.0))
             off = F.when(F.col("weight") > 0, F.abs(F.col("_f") - 1)).otherwise(0.0)
             now = now.withColumn("_off", off if d == dims[0] else F.greatest("_off", off)).withColumn("weight", F.col("weight") * F.col("_f"))
-        now = cut(now.drop("_f"))
-        if (now.agg(F.max("_off")).first()[0] or 0.0) < ERROR:
-            break
+            if most is not None:
+                now = now.withColumn("weight", F.least("weight", F.col("tokens") * most))
+        now = now.drop("_f")
+        if sweep % AT_ONCE == 0:
+            now = cut(now)
+            if (off := now.agg(F.max("_off")).first()[0] or 0.0) < ERROR:
+                break
+    else:
+        warnings.warn(f"raking ended {off:.2g} from its targets", stacklevel=2)
     return now.select(*cells.columns, "weight")
 
 
 def mix(docs: DataFrame, dims: dict[str, Column], doc_id: Column, tokens: Column, power: float = 0.7, share: float = 0.5, seed: int = 0, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """docs with tokens, the dimensions as dim_<name>, weight (of a token), probability and sampled.
+    """docs with tokens, the dimensions as dim_<name>, weight (of a token), probability and sampled, in the place of
+    columns of docs with such names.
 
     The token weights of a cell are raked to targets, by default each dimension's token shares to `power`.
-    Probabilities are proportional to them and expect `share` of all tokens; where that would be over 1 a document
-    is certain and the rest of its cell's weight is not made up by repeats. A document is drawn if the hash of its
+    Probabilities are proportional to them and expect `share` of all tokens; a weight at which a document is certain is
+    the largest, and other cells make up for the rest. A document is drawn if the hash of its
     id and the seed falls under its probability, so a row's fate depends on its id alone and repeated rows share
     it. Null dimensions are a value of their own; documents without tokens weigh as one token; an empty table
     gives no rows.
     """
     names = {f"dim_{k}": c for k, c in dims.items()}
-    rows = docs.withColumns({k: F.coalesce(c.cast("string"), F.lit("\0")) for k, c in names.items()} | {"tokens": F.greatest(F.coalesce(tokens.cast("long"), F.lit(0)), F.lit(1)).cast("long")})
+    made = {k: F.coalesce(c.cast("string"), F.lit("\0")) for k, c in names.items()} | {"tokens": F.greatest(F.coalesce(tokens.cast("long"), F.lit(0)), F.lit(1)).cast("long")}
+    u = F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
+    own = [c for c in docs.columns if c not in {*made, "weight", "probability", "sampled", "_u"}]
+    rows = docs.select(*own, *(c.alias(k) for k, c in made.items()), u.alias("_u"))
     cells = cut(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")))
     goals = {f"dim_{k}": v.withColumnRenamed(k, f"dim_{k}") for k, v in (targets or {}).items()} or {k: tempered(cells, k, power) for k in names}
-    raked = rake(cells, goals)
+    raked = rake(cells, goals, 1 / share)
     raked = raked.select(*names, (F.col("weight") / F.col("tokens")).alias("weight"))
-    u = F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
-    made = rows.join(raked, list(names)).withColumn("probability", F.least(F.col("weight") * share, F.lit(1.0)))
-    return made.withColumn("sampled", u < F.col("probability"))
+    drawn = rows.join(raked, list(names)).withColumn("probability", F.least(F.col("weight") * share, F.lit(1.0)))
+    return drawn.withColumn("sampled", F.col("_u") < F.col("probability")).drop("_u")

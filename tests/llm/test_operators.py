@@ -320,6 +320,19 @@ def test_mixing_defaults(spark):
     assert len(got) == 302 and 0.3 < sum(r.sampled for r in got) / 302 < 0.7 and all(0 <= r.probability <= 1 for r in got)
     assert {r.doc_id for r in mix(df).where("sampled").collect()} == {r.doc_id for r in got if r.sampled}
     assert mix(df.limit(0)).count() == 0
+    clash = df.withColumns({"weight": F.lit(3), "tokens": F.lit("x"), "dim_topic": F.lit(1), "sampled": F.lit(9)})
+    key = lambda r: (r.doc_id, r.tokens, r.dim_topic, round(r.weight, 9), r.sampled)
+    assert sorted(map(key, mix(clash).collect())) == sorted(map(key, got))
+
+
+def test_certain_documents_are_made_up_for(spark):
+    """Where a cell can't weigh enough, the others of its values take the rest, so the drawn marginals are the targets."""
+    cells = spark.createDataFrame([("x", "p", 10), ("x", "q", 90), ("y", "p", 300), ("y", "q", 600)], "a string, b string, tokens long")
+    target = lambda k, **shares: spark.createDataFrame(list(shares.items()), f"{k} string, target double")
+    goals = {"a": target("a", x=0.18, y=0.82), "b": target("b", p=0.5, q=0.5)}
+    w = {(r.a, r.b): (r.weight, r.tokens) for r in mixing.rake(cells, goals, 2.0).collect()}
+    assert all(v <= 2 * t + 1e-6 for v, t in w.values()) and w["x", "p"][0] == pytest.approx(20, rel=1e-3)
+    assert w["x", "p"][0] + w["x", "q"][0] == pytest.approx(180, rel=1e-4) and w["x", "p"][0] + w["y", "p"][0] == pytest.approx(500, rel=1e-4)
 
 
 # personal data
@@ -373,6 +386,28 @@ def test_embeddings_against_all_pairs(spark):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_many_lengths_and_sizes(spark):
+    """Planted pairs at the limit and a little above are found at the recall asked for, whatever the length."""
+    rng = np.random.default_rng(18)
+    rows, want = [], set()
+    for size, n in ((48, 3000), (16, 300), (3, 1)):
+        x = rng.normal(size=(n, size))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        noise = rng.normal(size=x.shape)
+        noise -= (noise * x).sum(1)[:, None] * x
+        noise /= np.linalg.norm(noise, axis=1)[:, None]
+        c = rng.uniform(0.9501, 0.98, size=(n, 1))
+        scale = 10.0 ** rng.integers(-200, 200, size=(n, 1))
+        for a, b in zip(x, (c * x + np.sqrt(1 - c * c) * noise) * scale, strict=True):
+            want.add((len(rows), len(rows) + 1))
+            rows += [(len(rows), a.tolist()), (len(rows) + 1, b.tolist())]
+    got = {r.vec_id: r for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)).collect()}
+    found = sum(got[a].n_links > 0 and got[b].component_id == got[a].component_id for a, b in want)
+    assert found >= 0.98 * len(want) and got[len(rows) - 1].component_id == len(rows) - 2
+    repeated = spark.createDataFrame([(1, [1.0, 2.0]), (1, [1.0, 2.0]), (None, [2.0, 4.0]), (4, [-1.0, 0.0])], "vec_id long, embedding array<float>")
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in embeddings.near_duplicates(repeated).collect()), key=str) == [(1, 2, 1), (1, 2, 1), (4, 0, 4), (None, 2, 1)]
+
+
 def test_traversal_is_nearest_first():
     rng = np.random.default_rng(9)
     a, b = rng.random(7), rng.random(5)
