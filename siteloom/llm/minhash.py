@@ -3,7 +3,8 @@
 The SKETCH smallest hash values of a document's set of shingles, runs of so many words, are retained. Two sets with
 similarity of 0.8 or more share at least SHARED of them but for a chance of 4e-10 at 0.8, and far less above it, or
 0.8 of them if the sets are smaller than that. A document is therefore listed only under its rarest values, so many
-that two documents which share that much meet in a list (prefix filtering).
+that two documents which share that much meet in a list (prefix filtering); values that no document of a fitting size
+shares don't count.
 
 Candidates are pairs of a list whose sizes allow 0.8, with enough overlap and a union sketch that says so. A list gives
 only a spanning forest of them, so its rows grow with its length and not with its square. The components of all
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, cut, small_batches, thinned
@@ -294,13 +295,14 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -
         made.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("source"), F.first("n").alias("n"), F.first("vs").alias("vs"), F.first("sketch").alias("sketch"))
     ).withColumn("cid", F.monotonically_increasing_id())
 
-    # Lists: only values that two classes retain, of each class its rarest.
-    # Counted and joined in one dealing by value.
+    # Lists: only values that another class of a size that allows a link retains too, of each class its rarest.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    values = classes.select("cid", "n", F.size("vs").alias("m"), F.explode("vs").alias("v")).repartition(parts, "v")
-    shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    need = F.when(F.col("m") < 0.8 * SKETCH, F.ceil(0.8 * F.col("m"))).otherwise(SHARED)
-    rarest = values.join(shared, "v").groupBy("cid", "n", "m").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    values = classes.select("cid", "n", F.explode("vs").alias("v")).repartition(parts, "v")
+    by_size = Window.partitionBy("v").orderBy("n")
+    values = values.withColumns({"df": F.count(F.lit(1)).over(Window.partitionBy("v")), "below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
+    shared = values.where((100 * F.col("below") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("above")))
+    need = F.when(F.col("n") < 0.8 * SKETCH, F.ceil(0.8 * F.col("n"))).otherwise(SHARED)
+    rarest = shared.groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
     listed = cut(rarest.withColumn("some", (F.size("vs") - need + 1).cast("int")).where("some > 0").select("cid", "n", F.explode(F.slice("vs", F.lit(1), F.col("some"))["v"]).alias("v")))
 
     def texts_of(ends: DataFrame) -> DataFrame:
