@@ -92,6 +92,24 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_minhash"] = op4_minhash
+# Components by following links both ways from every document that has one.
+REACHED = """
+ends AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM ends UNION SELECT r.a, l.b FROM reach r JOIN ends l ON l.a = r.b),
+least AS (SELECT a, least(a, min(b)) AS component_id FROM reach GROUP BY a)
+"""
+ORACLES["op4_minhash"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS s FROM worded
+), each AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT p.doc_id AS a, q.doc_id AS b FROM each p JOIN each q ON p.x = q.x AND p.doc_id < q.doc_id AND 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)
+  GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), """ + REACHED + """
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept FROM sets LEFT JOIN least ON a = doc_id
+"""
 
 
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +118,16 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_embeddings"] = op9_embeddings
+ORACLES["op9_embeddings"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM good p JOIN good q ON p.vec_id < q.vec_id AND len(p.v) = len(q.v) AND list_cosine_similarity(p.v, q.v) >= 0.95
+), """ + REACHED + """
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least ON a = vec_id LEFT JOIN (SELECT a AS id, count(*) AS n FROM ends GROUP BY a) ON id = vec_id
+"""
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

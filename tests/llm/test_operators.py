@@ -4,14 +4,16 @@ import collections
 import hashlib
 import itertools
 import math
+import os
 import re
 
 import corpus_pipeline
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siteloom.llm import chat, common, embeddings, minhash, mixing, passages, pii, quality, segmenting, sharding, toxicity
+from siteloom.llm import chat, common, embeddings, minhash, mixing, passages, pii, quality, queries, segmenting, sharding, toxicity
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 
@@ -475,3 +477,40 @@ def test_a_text_of_any_length(vocabulary, monkeypatch):
         assert [x[0].tolist() for x in a] == [x[0].tolist() for x in b] and len(b) == 4
         assert [v for x in a for v in x[1:]] == pytest.approx([v for x in b for v in x[1:]], abs=1e-6)
         assert all(segmenting.decode(x[0].tolist(), sampler.lattices.v) == text for x in b)
+
+
+# queries
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_give_what_sql_gives(spark, name):
+    con = duckdb.connect()
+    for f in os.listdir(DATA):
+        con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{DATA}/{f}'")
+    df = queries.QUERIES[name](spark, DATA)
+    cols = sorted(df.columns)
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLES[name]})").fetchall()
+    assert sorted(map(tuple, df.select(*cols).collect()), key=str) == sorted(want, key=str)
+
+
+def test_pipeline_keeps_what_its_stages_keep(spark):
+    """The stages one after the other, each on all that the one before kept."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = spark.createDataFrame(stage(spark, docs, DATA).collect(), docs.schema)
+        texts, before = {r.doc_id: r.text for r in kept.collect()}, {r.doc_id: r.text for r in docs.collect()}
+        assert set(texts) <= set(before) and len(texts) > (0 if name == "mixing" else 0.6 * len(before))
+        if name == "near_duplicates":
+            of = lambda t: {tuple(w[k : k + 5]) for w in [minhash.split_words(t)] for k in range(max(1, len(w) - 4))} if minhash.split_words(t) else set()
+            sets = {i: of(t) for i, t in before.items()}
+            linked = joined(sets, lambda a, b: bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+            assert set(texts) == {i for i, c in linked.items() if i == c}
+        elif name != "personal_data":
+            assert all(before[i] == t for i, t in texts.items())
+        else:
+            spans = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+            assert all((texts[i] == before[i]) == (not spans[i]) for i in texts)
+        docs = kept
+    assert {r.doc_id for r in corpus_pipeline.segment(spark, docs, DATA).collect()} == {r.doc_id for r in docs.collect()}
