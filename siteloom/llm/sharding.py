@@ -49,10 +49,6 @@ def _pick(xs: list[Column], dim: Column) -> Column:
     return got
 
 
-def _leaves(node: Node) -> list[Node]:
-    return [node] if node.left is None else [*_leaves(node.left), *_leaves(node.right)]
-
-
 def _narrow(node: Node, sums: list[tuple[int, int]], step: int, n_dims: int) -> None:
     """Take the range that holds the target; end at the boundary nearest to it."""
     target = node.weight * (node.n // 2) // node.n
@@ -120,7 +116,7 @@ def shard(docs: DataFrame, dims: dict[str, Column], weight: Column, key: Column,
     """Every row of docs with its shard and its slot there: (key, weight, *keep, shard, slot).
 
     dims are whole-number columns over docs; a null dimension, weight or key counts as 0 for the split. Rows with
-    the same dimensions and key stay together. An empty table gives no rows. Texts are read once, for a narrow table.
+    the same dimensions and key stay together; slots go by key, weight and kept columns. An empty table gives no rows. Texts are read once, for a narrow table.
     """
     names = [f"dim_{i}" for i in range(len(dims))]
     zero = lambda c: F.coalesce(c.cast("long"), F.lit(0).cast("long"))
@@ -132,7 +128,7 @@ def shard(docs: DataFrame, dims: dict[str, Column], weight: Column, key: Column,
     placed = placed.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n")).select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    own = Window.partitionBy("shard", "part").orderBy("key", "weight")
+    own = Window.partitionBy("shard", "part").orderBy("key", "weight", *(keep or {}))
     return placed.withColumn("own", F.row_number().over(own)).join(offsets, ["shard", "part"]).select(
         "key", "weight", *(keep or {}), "shard", (F.col("offset") + F.col("own") - 1).cast("long").alias("slot")
     )

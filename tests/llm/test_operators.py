@@ -68,6 +68,48 @@ def test_shards_are_even_and_whole(spark):
     assert sharding.shard(df.limit(0), {"doc": F.col("doc_id")}, size, F.col("doc_id"), 7).count() == 0
 
 
+def plain_tree(rows, shards, whole):
+    """Shards of (dimensions, key, weight) rows: cut at the weighted median of the widest dimension, ties by key."""
+    if shards == 1 or not rows:
+        return {r: 0 for r in rows}
+    extent = [(max(x) - min(x)) / max(1, w) for x, w in zip(zip(*(r[0] for r in rows)), whole)]
+    d = extent.index(max(extent)) if max(extent) > 0 else None
+    place = lambda r: (r[0][d] if d is not None else r[1], r[1])
+    total, below, left, n = sum(r[2] for r in rows), 0, [], shards // 2
+    target = total * n // shards
+    for at in sorted(set(map(place, rows))):
+        w = sum(r[2] for r in rows if place(r) == at)
+        if below + w > target:
+            if target - below > below + w - target:
+                left.append(at)
+            break
+        below += w
+        left.append(at)
+    a, b = [r for r in rows if place(r) in left], [r for r in rows if place(r) not in left]
+    return plain_tree(a, n, whole) | {r: s + n for r, s in plain_tree(b, shards - n, whole).items()}
+
+
+@pytest.mark.parametrize("ranges", [4, 1024])
+def test_shards_against_a_plain_tree(spark, monkeypatch, ranges):
+    monkeypatch.setattr(sharding, "RANGES", ranges)
+    rng = np.random.default_rng(11)
+    rows = [((int(rng.integers(5)), int(rng.integers(1000)), 7), i, int(rng.integers(1, 60))) for i in range(120)]
+    df = spark.createDataFrame([(*d, k, w) for d, k, w in rows], "a long, b long, c long, k long, w long")
+    got = {r.key: r.shard for r in sharding.shard(df, {x: F.col(x) for x in "abc"}, F.col("w"), F.col("k"), 11).collect()}
+    whole = [max(x) - min(x) for x in zip(*(r[0] for r in rows))]
+    assert got == {r[1]: s for r, s in plain_tree(rows, 11, whole).items()}
+
+
+def test_shards_of_null_and_repeated_rows(spark):
+    rows = [(1, 5, "a"), (1, 5, "b"), (1, 5, "a"), (None, None, None), (None, 3, "c"), (2, 4, None)]
+    df = spark.createDataFrame(rows, "k long, w long, t string")
+    made = sharding.shard(df, {"w": F.col("w")}, F.col("w"), F.col("k"), 3, {"t": F.col("t")}).collect()
+    assert sorted(((r.key, r.weight, r.t) for r in made), key=str) == sorted(rows, key=str)
+    assert len({r.shard for r in made if r.key == 1}) == 1
+    for s in {r.shard for r in made}:
+        assert sorted(r.slot for r in made if r.shard == s) == list(range(sum(r.shard == s for r in made)))
+
+
 # toxicity
 
 
@@ -467,6 +509,15 @@ def test_encode_round_trip(spark, vocabulary):
     assert segmenting.encode(docs_of(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_own_spaces_and_long_chunks(vocabulary):
+    """A text's own U+2581 and a chunk of a million characters come back."""
+    texts = ["\u2581a \u2581 b\u2581", "ab" * 500_000, "\u2581", " ", "é\U0001f600\n\t x"]
+    sampler = segmenting.Sampler(vocabulary, 2, 0)
+    for t in texts:
+        (found,) = sampler.sample([t], [1])
+        assert found and all(segmenting.decode(f[0].tolist(), sampler.lattices.v) == t for f in found)
+
+
 def test_a_text_of_any_length(vocabulary, monkeypatch):
     texts = [" ".join(f"{prose(3, i)}\n日本語{i} 🙂" for i in range(60)), "then", "one two " * 40 + prose(30, 7), "a" * 300]
     want = segmenting.Sampler(vocabulary, 4, 0).sample(texts, [1, 2, 3, 4])
