@@ -67,3 +67,8 @@ def partition(staged: DataFrame, batch_id: str, with_text: bool = False) -> Data
     """The rows of one batch; only those that have a text, if asked."""
     got = staged.where(F.col("batch_id") == batch_id)
     return got.where("page_text is not null") if with_text else got
+
+
+def preview(df: DataFrame, rows: int = 5) -> DataFrame:
+    """A few rows to look at; which ones isn't defined."""
+    return df.limit(rows)

@@ -307,3 +307,37 @@ def test_decoded(spark):
 def test_longest_prefix(spark):
     df = spark.createDataFrame([("/Travel & Transportation/Transportation/Air Travel",)], "t string")
     assert df.select(topics.map_topic(F.col("t")), topics.map_topic(F.col("t"), longest_prefix=True)).first()[:] == ("Logistics & Planning", "Transportation")
+
+
+def test_tables_that_are_there_or_not(spark, tmp_path):
+    from siteloom import sources
+    from siteloom.plans import pipeline
+    from siteloom.schemas import RESULT_COLUMNS
+
+    empty = sources.existing(spark, "no_such_table")
+    assert empty.columns == RESULT_COLUMNS and empty.count() == 0
+    spark.range(9).createOrReplaceTempView("some_table")
+    assert sources.existing(spark, "some_table").count() == 9 and sources.preview(spark.table("some_table")).count() == 5
+    path = pipeline.write_snapshot(empty, str(tmp_path), "1")
+    assert spark.read.parquet(path).columns == RESULT_COLUMNS
+    with pytest.raises(Exception, match="exist"):
+        pipeline.write_snapshot(empty, str(tmp_path), "1")
+
+
+def test_times_that_are_none(spark):
+    rows = spark.createDataFrame([("2024-01-02 03:04:05", "2024-01-02"), ("soon", ""), (None, "2024-13-01")], "created_at string, last_accessed string")
+    got = [tuple(map(str, r)) for r in upsert.with_times(rows).collect()]
+    assert got == [("2024-01-02 03:04:05", "2024-01-02 00:00:00"), ("None", "None"), ("None", "None")]
+
+
+def test_no_address_with_a_usable_site_is_lost(spark):
+    """The whole log goes in: every address of the window that has a usable site comes out of the representative rows."""
+    from siteloom.plans import catalog
+
+    log = catalog.log_of(spark, "/root/testdata/sf0.001")
+    usable = lambda c: ~urls.clean(F.col(c)).isin(*urls.PLACEHOLDERS)
+    from siteloom.operators import impressions
+
+    want = {r[0] for r in impressions.kept(log).where(usable("site") & usable("trimmed_page_url")).select(urls.url_key(urls.clean(F.col("trimmed_page_url")))).distinct().collect()}
+    got = {r.url_hash for r in urls.classify_hosts(impressions.dedupe_with_hits(log)).select("url_hash").collect()}
+    assert got == want
