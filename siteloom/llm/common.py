@@ -80,6 +80,10 @@ def thinned(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column)
     return maybe(rows, key, wanted, wanted_key).where("_maybe").drop("_maybe")
 
 
+#: Edges of a graph that a task takes, at most.
+IN_A_TASK = 100_000
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected edges: (id, component), component the smallest id reachable.
 
@@ -89,14 +93,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
     now = cut(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    # No more tasks than the edges need, as each step deals them out several times.
+    parts = 1 + now.count() // IN_A_TASK
+    few = lambda df: df.coalesce(parts)
     before = None
     while True:
-        both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        now = cut(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
+        both = few(now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+        least = few(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = few(few(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")).distinct())
+        least = few(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = few(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"))
+        now = cut(few(few(small.unionAll(least.select("u", F.col("m").alias("v")))).distinct()))
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == before:
             return now.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(

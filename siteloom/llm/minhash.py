@@ -7,9 +7,9 @@ that two documents which share that much meet in a list (prefix filtering); valu
 shares don't count.
 
 Candidates are pairs of a list whose sizes allow 0.8, with enough overlap and a union sketch that says so. A list gives
-only a spanning forest of them, so its rows grow with its length and not with its square. The components of all
-forests hold every link; within one, the exact Jaccard similarity of the full sets decides, again in blocks that
-give a forest of links. Before that, lists longer than LONG are compared, by full sets, with a few of their members
+only the components of them, as stars, so its rows grow with its length and not with its square. The components of all
+these hold every link; within one, the exact Jaccard similarity of the full sets decides, again in blocks that give
+stars. Before that, lists longer than LONG are compared, by full sets, with a few of their members
 (hubs): a large group of copies is one component then, and only pairs of different components go on.
 """
 
@@ -100,15 +100,20 @@ class _Joined:
     def roots(self) -> np.ndarray:
         return np.fromiter(map(self.root, range(len(self.of))), np.int64, len(self.of))
 
-    def join(self, pairs: np.ndarray) -> list[tuple[int, int]]:
-        """Those of the pairs that join two components."""
-        new = []
+    def join(self, pairs: np.ndarray) -> None:
         for a, b in pairs.tolist():
             x, y = self.root(a), self.root(b)
-            if x != y:
-                self.of[max(x, y)] = min(x, y)
-                new.append((a, b))
-        return new
+            self.of[max(x, y)] = min(x, y)
+
+    def stars(self, before: np.ndarray, cid: tuple) -> list[tuple[int, int]]:
+        """What has been joined since the given roots: of each component its least id with each of its parts.
+
+        Groups with much the same rows give much the same pairs, so these are few beside the rows.
+        """
+        parts: dict[int, list[int]] = {}
+        for r in np.unique(before).tolist():
+            parts.setdefault(self.root(r), []).append(cid[r])
+        return [(low, x) for own in parts.values() if len(own) > 1 for low in [min(own)] for x in own if x != low]
 
 
 def _overlaps(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
@@ -150,14 +155,15 @@ def _estimates(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 
 def _candidates(rows: list[tuple]) -> list[tuple[int, int]]:
-    """A spanning forest of the candidates among (cid, label, n, sketch, side): alike, of different labels, and of
-    different sides if there are two."""
+    """Components of the candidates among (cid, label, n, sketch, side), which are alike, of different labels, and of
+    different sides if there are two; as stars."""
     cid, label, n, sketch, side = zip(*rows, strict=True)
     if len(set(label)) < 2:
         return []
     n, side, label = np.array(n), np.array(side), np.array(label)
     sketch = [np.frombuffer(x, np.uint32) for x in sketch]
-    two, found, joined = len(set(side.tolist())) > 1, [], _Joined(len(rows))
+    two, joined = len(set(side.tolist())) > 1, _Joined(len(rows))
+    before = joined.roots()
     for i in range(0, len(rows), TILE):
         for j in range(i, len(rows), TILE):
             p, q = slice(i, i + TILE), slice(j, j + TILE)
@@ -176,16 +182,17 @@ def _candidates(rows: list[tuple]) -> list[tuple[int, int]]:
                 some = pairs[k : k + 4096]
                 some = some[root[some[:, 0]] != root[some[:, 1]]]
                 if len(some):
-                    found += joined.join(some[_estimates([sketch[x] for x in some[:, 0]], [sketch[x] for x in some[:, 1]])])
-    return [(min(cid[a], cid[b]), max(cid[a], cid[b])) for a, b in found]
+                    joined.join(some[_estimates([sketch[x] for x in some[:, 0]], [sketch[x] for x in some[:, 1]])])
+    return joined.stars(before, cid)
 
 
 def _linked_sets(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """Pairs of (cid, label, set, side) that are links, of different sides if there are two, and no more of them than
-    join their components; rows of one label are joined already."""
+    """Components by links among (cid, label, set, side), of different sides if there are two, as stars; rows of one
+    label are joined already."""
     rows.sort(key=lambda r: (len(r[2]), r[0]))
     cid, label, sets, side = zip(*rows, strict=True)
-    n, side, found, joined = np.array(list(map(len, sets))), np.array(side), [], _Joined(len(rows), label)
+    n, side, joined = np.array(list(map(len, sets))), np.array(side), _Joined(len(rows), label)
+    before = joined.roots()
     two = len(set(side.tolist())) > 1
     for i in range(0, len(rows), TILE):
         for j in range(i, len(rows), TILE):
@@ -204,8 +211,8 @@ def _linked_sets(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
             common = _overlaps([sets[i + x] for x in a], [sets[j + x] for x in b]).astype(np.int64)
             ok = may[np.ix_(a, b)] & (100 * common >= percent * (n[i + a][:, None] + n[j + b][None, :] - common))
             pairs = np.argwhere(ok)
-            found += joined.join(np.stack([i + a[pairs[:, 0]], j + b[pairs[:, 1]]], axis=1))
-    return [(min(cid[a], cid[b]), max(cid[a], cid[b])) for a, b in found]
+            joined.join(np.stack([i + a[pairs[:, 0]], j + b[pairs[:, 1]]], axis=1))
+    return joined.stars(before, cid)
 
 
 def _grouped(columns: tuple[str, ...], rows_of, pairs_of):
