@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, maybe, small_batches, stored, thinned
+from .common import maybe, small_batches, stored, thinned
 
 LENGTH, ANCHOR = 100, 32
 REACH = LENGTH - ANCHOR  # bytes before an anchor that a string over it can start at
@@ -378,7 +378,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     code = F.xxhash64("text")
     known = stored(rows.select("doc_id", "doc", code.alias("code"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole")).groupBy("doc_id", "doc", "code", "n_bytes", "whole").agg(F.count(F.lit(1)).alias("times")))
     shared = known.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc", F.lit(True).alias("shared"))
-    first = known.groupBy("whole").agg(F.min("doc").alias("first_doc"), F.min(F.struct("doc", F.col("doc_id").isNull().alias("none"))).alias("first"), F.count(F.lit(1)).alias("rows"))
+    first = known.groupBy("whole").agg(F.min(F.struct("doc", F.col("doc_id").isNull().alias("none"))).alias("first"))
     known = stored(known.join(shared, "doc", "left").join(first, "whole").select(
         "doc_id", "doc", "code", "n_bytes", "whole", "times", F.when(F.col("shared"), F.col("code")).otherwise(F.lit(0)).cast("long").alias("tie"),
         (F.struct("doc", F.col("doc_id").isNull().alias("none")) == F.col("first")).alias("is_first")))
