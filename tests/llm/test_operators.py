@@ -285,6 +285,35 @@ def test_quality_is_alike_at_every_size(spark, n):
     assert not any(r.kept for r in junk) and sum(r.kept for r in held) > 0.9 * len(held)
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    """Ratios and limit of 54,000 trusted and 54,000 rejected rows, from counts over all of them."""
+    word = lambda i: F.concat(F.when(F.col("doc_id") < 60_000, "w").otherwise("x"), F.pmod(F.xxhash64("doc_id", i), F.lit(60)))
+    df = spark.range(114_000).withColumnRenamed("id", "doc_id").withColumn("text", F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20)), word), " ")).cache()
+    trusted, rejected = df.where("doc_id < 54000"), df.where("doc_id >= 60000")
+    model = quality.weights(df, trusted, rejected=rejected)
+    held = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(quality.HELD)) == 0
+    every, some = ({r["bucket"]: r["count"] for r in quality.grams(x, "text", model.buckets, "doc_id").groupBy("bucket").count().collect()} for x in (df, trusted.where(~held)))
+    raw, own = sum(every.values()), sum(some.values())
+    want = {g: round(1e6 * (math.log((some.get(g, 0) / own + 0.25 * n / raw) / 1.25) - math.log(n / raw))) for g, n in every.items()}
+    assert {r.bucket: r.ratio for r in model.ratios.collect()} == pytest.approx(want, abs=1)
+    made = quality.judge(df, model, scores=model.scores)
+    good, bad = ([r.llr for r in made.join(x, "doc_id").select("llr").collect()] for x in (trusted.where(held), rejected))
+    tail, noise = np.quantile(good, quality.LOST), np.quantile(bad, quality.NOISE)
+    assert model.least == pytest.approx(tail - max(0, tail - noise) / 2, abs=1e-12)
+    some = df.where("doc_id % 997 = 0")
+    assert {r.doc_id: r for r in made.where("doc_id % 997 = 0").collect()} == {r.doc_id: r for r in quality.judge(some, model).collect()}
+
+
+@pytest.mark.parametrize("few", [3, 50_000])
+def test_percentiles_are_exact(spark, monkeypatch, few):
+    monkeypatch.setattr(quality, "FEW", few)
+    rng = np.random.default_rng(6)
+    values = [*rng.normal(size=90).tolist(), *[0.25] * 40, *(0.5 + 1e-9 * rng.random(30)).tolist(), -3.0]
+    rows, shares = spark.createDataFrame([(x,) for x in values], "x double"), [0.0, 0.005, 0.3, 0.5, 0.77, 0.95, 1.0]
+    assert quality.percentiles(rows, "x", shares) == pytest.approx(np.quantile(values, shares).tolist(), abs=1e-15)
+    assert quality.percentiles(rows.limit(0), "x", [0.5]) == [None]
+
+
 # passages
 
 
