@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, embeddings, minhash, mixing, passages, pii, quality, segmenting, sharding, toxicity
-from .common import table, words
+from .common import stored, table, words
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -151,13 +151,18 @@ QUERIES["op8_pii"] = op8_pii
 
 def mixed(docs: DataFrame) -> DataFrame:
     """Documents with the probability at which source, language and topic come near each other, and the draw."""
-    dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic(F.col("text"))}
-    return mixing.mix(docs, dims, F.col("doc_id"), F.size(words(F.col("text"))))
+    return drawn(docs, mixing.topic(F.col("text")), F.size(words(F.col("text"))))
+
+
+def drawn(docs: DataFrame, topic: Column, tokens: Column) -> DataFrame:
+    return mixing.mix(docs, {"source": F.col("source"), "lang": F.col("lang"), "topic": topic}, F.col("doc_id"), tokens)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raked token weights, probability and draw of every document."""
-    made = mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    # Cells and draw both take topic and tokens, so these are made once; without the text, the rows are short.
+    docs = stored(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", mixing.topic(F.col("text")).alias("topic"), F.size(words(F.col("text"))).alias("words")))
+    made = drawn(docs, F.col("topic"), F.col("words"))
     return made.select("doc_id", "tokens", "dim_source", "dim_lang", "dim_topic", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "sampled")
 
 

@@ -398,6 +398,15 @@ def test_mixing_defaults(spark):
     assert sorted(map(key, mix(clash).collect())) == sorted(map(key, got))
 
 
+def test_mixing_reads_texts_once(spark):
+    """What counts the cells is stored, so the draw splits no text again; rows are those of the general form."""
+    made = queries.op7_mixing(spark, DATA)
+    assert "crc32" not in made._jdf.queryExecution().optimizedPlan().toString()
+    want = queries.mixed(common.table(spark, DATA, "documents"))
+    key = lambda r: (r.doc_id, r.tokens, r.dim_source, r.dim_lang, r.dim_topic, round(r.weight, 6), round(r.probability, 6), r.sampled)
+    assert sorted(map(key, made.collect())) == sorted(map(key, want.collect()))
+
+
 def test_certain_documents_are_made_up_for(spark):
     """Where a cell can't weigh enough, the others of its values take the rest, so the drawn marginals are the targets."""
     cells = spark.createDataFrame([("x", "p", 10), ("x", "q", 90), ("y", "p", 300), ("y", "q", 600)], "a string, b string, tokens long")
