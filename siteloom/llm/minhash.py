@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, small_batches, thinned
+from .common import components, cut, small_batches, stored, thinned
 
 SKETCH, SHARED = 32, 10
 #: Share of the union sketch that must be common for a pair to be verified; 0.8 is the limit for links.
@@ -77,13 +77,31 @@ def _sketches(width: int):
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["text_hash"], pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*kept, np.empty(0, np.int64)]))),
-                 pa.array([(s[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary())],
-                names=["doc_id", "text_hash", "n", "digest", "vs", "sketch"],
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*kept, np.empty(0, np.int64)])))],
+                names=["doc_id", "text_hash", "n", "digest", "vs"],
             )
     return run
 
 
+class _Forest(dict):
+    """Components of ids that come in pairs: the id that each one leads to."""
+
+    def root(self, x: int) -> int:
+        while (to := self.setdefault(x, x)) != x:
+            self[x] = x = self.setdefault(to, to)
+        return x
+
+    def new(self, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The pairs that join what none before them has joined."""
+        out = []
+        for a, b in pairs:
+            x, y = self.root(a), self.root(b)
+            if x != y:
+                self[max(x, y)] = min(x, y)
+                out.append((a, b))
+        return out
+
+
 class _Joined:
     """Components of rows 0 to n - 1, known by their least row."""
 
@@ -161,7 +179,7 @@ def _candidates(rows: list[tuple]) -> list[tuple[int, int]]:
     if len(set(label)) < 2:
         return []
     n, side, label = np.array(n), np.array(side), np.array(label)
-    sketch = [np.frombuffer(x, np.uint32) for x in sketch]
+    sketch = [np.frombuffer(x, ">u4").astype(np.uint32) for x in sketch]
     two, joined = len(set(side.tolist())) > 1, _Joined(len(rows))
     before = joined.roots()
     for i in range(0, len(rows), TILE):
@@ -216,18 +234,22 @@ def _linked_sets(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
 
 
 def _grouped(columns: tuple[str, ...], rows_of, pairs_of):
-    """Pairs (a, b) from each group (v, i, j) of rows, which stand together."""
+    """Pairs (a, b) from groups (v, i, j) of rows, which stand together.
+
+    A pair is left out if the task's pairs before it join its ends: many groups hold the same rows, as lists or as pairs
+    of blocks of one list, and give the same components. So a task gives fewer pairs than it has different rows.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held, forest = None, [], _Forest()
         for batch in batches:
             found = []
             for v, i, j, row in zip(*(batch[c].to_pylist() for c in ("v", "i", "j")), rows_of(*(batch[c].to_pylist() for c in columns)), strict=True):
                 if (v, i, j) != key:
-                    found += pairs_of(held) if len(held) > 1 else []
+                    found += forest.new(pairs_of(held)) if len(held) > 1 else []
                     key, held = (v, i, j), []
                 held.append(row)
             yield _pairs(found)
-        yield _pairs(pairs_of(held) if len(held) > 1 else [])
+        yield _pairs(forest.new(pairs_of(held)) if len(held) > 1 else [])
     return run
 
 
@@ -297,10 +319,11 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    made = cut(rows.mapInArrow(_sketches(width), "doc_id long, text_hash long, n long, digest binary, vs array<long>, sketch binary"))
-    classes = cut(
-        made.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("source"), F.first("n").alias("n"), F.first("vs").alias("vs"), F.first("sketch").alias("sketch"))
-    ).withColumn("cid", F.monotonically_increasing_id())
+    made = stored(rows.mapInArrow(_sketches(width), "doc_id long, text_hash long, n long, digest binary, vs array<long>"))
+    classes = stored(
+        made.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("source"), F.first("n").alias("n"), F.first("vs").alias("vs"))
+        .withColumn("cid", F.monotonically_increasing_id())
+    )
 
     # Lists: only values that another class of a size that allows a link retains too, of each class its rarest.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -310,7 +333,7 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -
     shared = values.where((100 * F.col("below") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("above")))
     need = F.when(F.col("n") < 0.8 * SKETCH, F.ceil(0.8 * F.col("n"))).otherwise(SHARED)
     rarest = shared.groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
-    listed = cut(rarest.withColumn("some", (F.size("vs") - need + 1).cast("int")).where("some > 0").select("cid", "n", F.explode(F.slice("vs", F.lit(1), F.col("some"))["v"]).alias("v")))
+    listed = stored(rarest.withColumn("some", (F.size("vs") - need + 1).cast("int")).where("some > 0").select("cid", "n", F.explode(F.slice("vs", F.lit(1), F.col("some"))["v"]).alias("v")))
 
     def texts_of(ends: DataFrame) -> DataFrame:
         """(cid, text) of some classes."""
@@ -356,8 +379,10 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -
     marked = listed.join(labels, "cid")
     members = [F.bit_xor(F.xxhash64("cid", F.lit(k))).alias(f"members{k}") for k in (0, 1)]
     lists = marked.groupBy("v").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), *members).where("low < high")
+    # The upper 32 bits of each value, as bytes.
+    sketch = F.unhex(F.array_join(F.transform("vs", lambda x: F.lpad(F.hex(F.shiftrightunsigned(x, 32)), 8, "0")), ""))
     open_ = marked.join(lists.groupBy("size", "members0", "members1").agg(F.min("v").alias("v")).select("v", "size"), "v")
-    sketched = _in_blocks(open_, "v", "size", BLOCK).join(classes.select("cid", "sketch"), "cid")
+    sketched = _in_blocks(open_, "v", "size", BLOCK).join(classes.select("cid", sketch.alias("sketch")), "cid")
     near = components(cut(_together(sketched, forest).distinct()))
     marked = cut(near.withColumnRenamed("id", "cid").join(labels, "cid"))
     open_ = marked.join(mixed(marked, "component"), "component")

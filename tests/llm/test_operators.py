@@ -197,6 +197,15 @@ def test_long_lists_go_in_blocks_and_by_hubs(spark, monkeypatch, rounds):
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(spark, texts)).collect()} == want
 
 
+def test_groups_give_no_pair_twice():
+    """Groups with the same rows, as the lists of a group of near copies or the blocks of a list, give one forest."""
+    batch = minhash.pa.RecordBatch.from_pydict({"v": [g for g in range(40) for _ in range(30)], "i": [0] * 1200, "j": [0] * 1200, "cid": [(7 * g + k) % 50 for g in range(40) for k in range(30)]})
+    star = lambda held: [(min(held), x) for x in held if x != min(held)]
+    run = minhash._grouped(("cid",), lambda cid: cid, star)
+    pairs = [p for b in run(iter([batch.slice(k, 100) for k in range(0, 1200, 100)])) for p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert len(pairs) == 49 and set(joined(range(50), lambda a, b: (a, b) in set(pairs)).values()) == {0}
+
+
 def changed(text, places):
     return " ".join("other" if i in places else w for i, w in enumerate(text.split()))
 
