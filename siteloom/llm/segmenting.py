@@ -16,8 +16,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import count as counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +34,8 @@ SPACE = "▁"
 OWN_SPACE = "\ud800"
 #: Lattice nodes that a worker remembers, besides the last chunk's, and characters whose lattices are built at once.
 REMEMBERED, BUILT_AT_ONCE = 1_500_000, 60_000
-#: Texts that are sampled at once, fewer if their chunks don't fit in what is remembered.
-AT_ONCE = 32
+#: Texts that are sampled at once, fewer if their chunks don't fit in what is remembered, and steps that are made ids or bytes at once.
+AT_ONCE, STEPS_AT_ONCE = 32, 200_000
 #: What a score of a byte-pair vocabulary, minus the rank of the piece, is taken as: the log of a Zipf share.
 ZIPF = 1.0
 
@@ -70,11 +73,20 @@ class Vocabulary:
         self.trie = Trie(self.ids)
         inside = {c for p in self.ids if len(p) > 1 for c in p}
         lone = "".join(sorted(c for c in ("\n", "\t", "\r", *map(chr, range(0x20))) if c not in inside))
-        self.chunk = re.compile(f"[{re.escape(lone)}]|{SPACE}*[^{SPACE}{re.escape(lone)}]+|{SPACE}+", re.S)
+        self.chunk = re.compile(f"[{re.escape(lone)}]| *[^ {re.escape(lone)}]+| +", re.S)
+        # The bytes of all pieces, one piece after the other.
+        self.size = np.fromiter(map(len, self.bytes_of), np.int64, n)
+        self.at, self.flat = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(self.bytes_of), np.uint8)
 
     def chunks(self, text: str) -> list[str]:
         """The text, with a space put in front, in parts that no piece crosses; none of an empty text."""
-        return self.chunk.findall(SPACE + text.replace(SPACE, OWN_SPACE).replace(" ", SPACE)) if text else []
+        return self.chunk.findall(" " + text.replace(SPACE, OWN_SPACE)) if text else []
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        """The bytes of pieces, one after the other."""
+        size = self.size[ids]
+        to = np.cumsum(size)
+        return self.flat[np.repeat(self.at[ids] - to + size, size) + np.arange(int(size.sum()))].tobytes()
 
     def in_bytes(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of characters: how many bytes each has, their ids one after the other, and each one's log-probability."""
@@ -137,19 +149,6 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-class _Roots(dict):
-    """The node at each chunk's end; a new chunk gets minus 1 minus its place in new."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, chunk: str) -> int:
-        self.new.append(chunk)
-        self[chunk] = at = -len(self.new)
-        return at
-
-
 class Lattices:
     """The lattices of chunks as flat arrays: each (chunk, position) is a node with choices of the last piece."""
 
@@ -166,7 +165,8 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.root = _Roots()
+        self.number = defaultdict(counter().__next__)  # of each chunk, by first appearance
+        self.root = np.zeros(1024, np.int64)  # the node at each chunk's end
         self.nodes = self.choices = 0
 
     def _room(self, nodes: int, choices: int) -> None:
@@ -179,24 +179,20 @@ class Lattices:
 
     def find(self, texts: list[list[str]]) -> list[np.ndarray]:
         """The end nodes of each text's chunks, built where they are new; OverflowError if that is too much to remember."""
-        root = self.root
-        found = [np.fromiter(map(root.__getitem__, chunks), np.int64, len(chunks)) for chunks in texts]
-        new, at, ends = root.new, 0, []
+        number, known = self.number, len(self.number)
+        found = [np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks)) for chunks in texts]
+        new, at = list(islice(reversed(number), len(number) - known))[::-1], 0
+        if len(number) > len(self.root):
+            self.root = np.concatenate([self.root[:known], np.zeros(2 * len(number) - known, np.int64)])
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        past = np.cumsum(size)
         while at < len(new):
             if self.nodes > REMEMBERED:
                 raise OverflowError
-            end, size = at, 0
-            while end < len(new) and (end == at or size + len(new[end]) <= BUILT_AT_ONCE):
-                size += len(new[end])
-                end += 1
-            ends.append(self._build(new[at:end]))
+            end = max(at + 1, int(np.searchsorted(past, past[at] - size[at] + BUILT_AT_ONCE, "right")))
+            self.root[known + at : known + end] = self._build(new[at:end], size[at:end])
             at = end
-        if new:
-            ends = np.concatenate(ends)
-            root.update(zip(new, ends.tolist(), strict=True))
-            root.new = []
-            found = [np.where(f < 0, ends[np.maximum(-1 - f, 0)], f) for f in found]
-        return found
+        return [self.root[f] for f in found]
 
     def _edges(self, code: np.ndarray, end: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """(start, piece) of every piece in the chunks and of every character that is none, by ascending length."""
@@ -213,11 +209,11 @@ class Lattices:
                 break
         return found
 
-    def _build(self, chunks: list[str]) -> np.ndarray:
-        """The end nodes of new chunks."""
+    def _build(self, chunks: list[str], sizes: np.ndarray) -> np.ndarray:
+        """The end nodes of new chunks, given with their lengths."""
         code = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        n, sizes = len(code), np.fromiter(map(len, chunks), np.int64, len(chunks))
-        ends = np.cumsum(sizes)
+        code[code == ord(" ")] = ord(SPACE)
+        n, ends = len(code), np.cumsum(sizes)
         offset = np.arange(n) - np.repeat(ends - sizes, sizes)
         found = self._edges(code, np.repeat(ends, sizes))
         # By the node that they end at; longer ones first, as they are mostly the likelier.
@@ -230,7 +226,6 @@ class Lattices:
             last[at + k] -= 1
             own = last[at + k]
             start[own], piece[own] = at, which
-        node = np.repeat(np.arange(n), count)
         piece[piece == -1 - ord(OWN_SPACE)] = -1 - ord(SPACE)
         cost = self.v.score[np.maximum(piece, 0)]
         lone = np.flatnonzero(piece < 0)
@@ -241,7 +236,7 @@ class Lattices:
         by_offset = np.argsort(narrow(offset), kind="stable")
         counts = count[by_offset]
         starts = np.cumsum(counts) - counts
-        edges = np.repeat(first[by_offset] - starts, counts) + np.arange(len(node))
+        edges = np.repeat(first[by_offset] - starts, counts) + np.arange(len(piece))
         before_, cost_, value = before[edges], cost[edges], np.empty(len(edges))
         mass = np.zeros(n + 1)
         level = np.concatenate([[0], np.cumsum(np.bincount(offset))])
@@ -254,7 +249,7 @@ class Lattices:
             value[x:y] = v
         share = np.empty(len(edges))
         share[edges] = value
-        share = np.minimum(share - mass[node], 0.0)
+        share = np.minimum(share - np.repeat(mass[:n], count), 0.0)
         run = np.exp(share)
         more = np.flatnonzero(count > 1)
         for k in range(1, int(count.max(initial=0))):
@@ -489,7 +484,7 @@ class Sampler:
                     chunk, taken, _ = search.walks[walk]
                     following.append((i, (chunk[: step + 1], np.append(taken[:step], pick)), step + 1, value, nodes, chunks))
             todo = following
-        return [self._results(s) for s in searches]
+        return self._results(searches)
 
     def _start(self, key: int) -> float:
         """The perturbed value of the best segmentation: a Gumbel value of the whole lattice."""
@@ -518,34 +513,64 @@ class Sampler:
             before = [np.append(x[:step], x_) for x, x_ in zip(steps[walk], (start, pick, lat.log_share[pick], lat.piece[pick]), strict=True)]
             since, start = step + 1, start if ahead >= 0 else start + 1
         threshold = search.bound()[0]
-        return [self._result(chunk, piece, value, log_z, threshold) for (chunk, _, _, piece), (_, _, value) in zip(steps, search.walks, strict=True)]
+        made = self._made((chunk, piece) for chunk, _, _, piece in steps)
+        return [self._result(m, value, log_z, threshold) for m, (*_, value) in zip(made, search.walks, strict=True)]
 
-    def _results(self, search: _Search) -> list[tuple[list[int], float, float, float]]:
-        lat, threshold = self.lattices, search.bound()[0]
-        log_z = float(lat.mass[search.roots].sum()) if len(search.roots) else 0.0
-        return [self._result(chunk, lat.piece[choice], value, log_z, threshold) for chunk, choice, value in search.walks]
+    def _results(self, searches: list[_Search]) -> list[list[tuple[np.ndarray, float, float, float]]]:
+        lat = self.lattices
+        made = self._made((chunk, lat.piece[choice]) for s in searches for chunk, choice, _ in s.walks)
+        out = []
+        for s in searches:
+            log_z, threshold = float(lat.mass[s.roots].sum()) if len(s.roots) else 0.0, s.bound()[0]
+            out.append([self._result(next(made), value, log_z, threshold) for *_, value in s.walks])
+        return out
 
-    def _result(self, chunk: np.ndarray, piece: np.ndarray, value: float, log_z: float, threshold: float) -> tuple[np.ndarray, float, float, float]:
-        v, cost = self.lattices.v, self.lattices.v.score[np.maximum(piece, 0)]
-        lone = np.flatnonzero(piece < 0)
-        if len(lone):
-            cost[lone] = v.in_bytes(-1 - piece[lone])[2]
-        log_p = float(cost.sum()) - log_z
+    def _result(self, made: tuple[np.ndarray, float], value: float, log_z: float, threshold: float) -> tuple[np.ndarray, float, float, float]:
+        ids, log_p = made[0], made[1] - log_z
         inclusion = 1.0 if threshold == -np.inf else float(-np.expm1(-np.exp(min(log_p - threshold, 50.0))))
-        ids = piece[::-1][np.argsort(narrow(chunk[::-1]), kind="stable")]  # chunks were walked from their ends
-        return self.whole(ids).astype("<i4"), log_p, value, inclusion
-
-    def whole(self, ids: np.ndarray) -> np.ndarray:
-        """The ids with characters that are no piece as those of their bytes."""
+        return ids, log_p, value, inclusion
+
+    def _made(self, walks: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, float]]:
+        """Of each walk, given as chunk and piece of its steps: its ids in the text's order, and the sum of their log-probabilities."""
+        some, size = [], 0
+        for walk in walks:
+            if some and size + len(walk[0]) > STEPS_AT_ONCE:
+                yield from self._made_at_once(some)
+                some, size = [], 0
+            some.append(walk)
+            size += len(walk[0])
+        if some:
+            yield from self._made_at_once(some)
+
+    def _made_at_once(self, walks: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, float]]:
+        v, ends = self.lattices.v, np.cumsum([len(c) for c, _ in walks], dtype=np.int64)
+        chunk, piece = (np.concatenate(x) for x in zip(*walks, strict=True))
+        # Chunks stand in order but were walked from their ends: their steps are turned round.
+        new = np.ones(len(chunk), bool)
+        new[1:] = chunk[1:] != chunk[:-1]
+        new[ends[ends < len(chunk)]] = True
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(chunk)) - 1
+        order = np.repeat(first + last, last - first + 1)
+        order -= np.arange(len(order))
+        ids, cost, past = piece[order], v.score[np.maximum(piece, 0)], ends
         lone = np.flatnonzero(ids < 0)
-        if not len(lone):
-            return ids
-        counts, own, _ = self.lattices.v.in_bytes(-1 - ids[lone])
-        count = np.ones(len(ids), np.int64)
-        count[lone] = counts
-        out = np.repeat(ids, count)
-        out[np.repeat(ids < 0, count)] = own
-        return out
+        if len(lone):  # characters that are no piece are given as their bytes
+            size = np.ones(len(ids), np.int64)
+            size[lone], raw, cost[order[lone]] = v.in_bytes(-1 - ids[lone])
+            past = np.append(0, np.cumsum(size))[ends]
+            ids = np.repeat(ids, size)
+            ids[ids < 0] = raw
+        ids, past, ends = ids.astype("<i4", copy=False), past.tolist(), ends.tolist()
+        return [(ids[a:b], float(cost[x:y].sum())) for a, b, x, y in zip([0, *past[:-1]], past, [0, *ends[:-1]], ends, strict=True)]
+
+
+def round_trips(found: list[np.ndarray], raw: list[bytes], v: Vocabulary) -> list[bool]:
+    """Whether the bytes of each segmentation, without the space put in front, are those of its text."""
+    ids = np.concatenate([*found, np.empty(0, np.int32)])
+    flat = b"".join(v.joined(ids[s : s + STEPS_AT_ONCE]) for s in range(0, len(ids), STEPS_AT_ONCE))
+    past = np.cumsum([0, *(v.size[f].sum() for f in found)]).tolist()
+    return [flat[a + 1 : b] == r for a, b, r in zip(past[:-1], past[1:], raw, strict=True)]
 
 
 def decoded(ids, v: Vocabulary) -> bytes:
@@ -564,12 +589,13 @@ def _encoded(path: str, k: int, seed: int, packed: bool):
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             keys = [int.from_bytes(hashlib.blake2b(repr(x).encode(), digest_size=8).digest(), "little") for x in batch["key"].to_pylist()]
-            found = [f for s in range(0, len(texts), AT_ONCE) for f in sampler.sample(texts[s : s + AT_ONCE], keys[s : s + AT_ONCE])]
+            raw, found, back = [t.encode() for t in texts], [], []
+            for s in range(0, len(texts), AT_ONCE):
+                some = sampler.sample(texts[s : s + AT_ONCE], keys[s : s + AT_ONCE])
+                found += some
+                back += round_trips([x[0] for f in some for x in f], [r for f, r in zip(some, raw[s : s + AT_ONCE], strict=True) for _ in f], sampler.lattices.v)
             at = pa.array([i for i, f in enumerate(found) for _ in f])
             flat = [x for f in found for x in f]
-            v = sampler.lattices.v
-            raw = [t.encode() for t in texts]
-            back = [decoded(x[0].tolist(), v) == raw[i] for i, x in zip(at.to_pylist(), flat, strict=True)]
             ids = pa.array([x[0].tobytes() for x in flat], pa.binary()) if packed else pa.array([x[0].tolist() for x in flat], pa.list_(pa.int32()))
             rest = [n for n in batch.schema.names if n not in ("key", "text")]
             yield pa.RecordBatch.from_arrays(

@@ -577,6 +577,23 @@ def test_a_text_of_any_length(vocabulary, monkeypatch):
         assert all(segmenting.decode(x[0].tolist(), sampler.lattices.v) == text for x in b)
 
 
+def test_a_batch_is_made_at_once(vocabulary, monkeypatch):
+    """Characters that are no piece become bytes once a batch, not in each segmentation, with the outcome of texts alone."""
+    texts = ["a\nb 日本語🙂 c", "", "\n\n", "▁x  y", " lead\t", "\x00\x01", *(f"{prose(20, i)}\n🙂{i}" for i in range(26))]
+    sampler, keys, calls, plain = segmenting.Sampler(vocabulary, 2, 0), list(range(len(texts))), [], segmenting.Vocabulary.in_bytes
+    v = sampler.lattices.v
+    monkeypatch.setattr(segmenting.Vocabulary, "in_bytes", lambda self, codes: calls.append(len(codes)) or plain(self, codes))
+    got = sampler.sample(texts, keys)
+    assert len(calls) == 2  # of the lattices and of all segmentations
+    for steps in (segmenting.STEPS_AT_ONCE, 7):
+        monkeypatch.setattr(segmenting, "STEPS_AT_ONCE", steps)
+        for t, key, found in zip(texts, keys, got, strict=True):
+            (alone,) = segmenting.Sampler(vocabulary, 2, 0).sample([t], [key])
+            assert [(f[0].tolist(), *f[2:]) for f in found] == [(f[0].tolist(), *f[2:]) for f in alone]
+            assert segmenting.round_trips([f[0] for f in found], [t.encode()] * len(found), v) == [True] * len(found)
+            assert segmenting.round_trips([f[0] for f in found], [t.encode() + b"x"] * len(found), v) == [False] * len(found)
+
+
 # queries
 
 DATA = "/root/testdata/sf0.001"
