@@ -426,6 +426,38 @@ def test_certain_documents_are_made_up_for(spark):
     assert w["x", "p"][0] + w["x", "q"][0] == pytest.approx(180, rel=1e-4) and w["x", "p"][0] + w["y", "p"][0] == pytest.approx(500, rel=1e-4)
 
 
+def test_driver_plans_one_sweep_at_most(spark, monkeypatch):
+    """What the driver plans in raking doesn't grow with the sweeps; arrays and windows give the same weights."""
+    rng = np.random.default_rng(3)
+    rows = [(a, b, c, int(rng.integers(1, 200))) for a in [*"uvwxyz", None] for b in range(5) for c in "pq" if rng.random() < 0.8]
+    cells = spark.createDataFrame(rows, "a string, b int, c string, tokens long")
+    target = lambda k, kind, shares: spark.createDataFrame(list(shares.items()), f"{k} {kind}, target double")
+    goals = {"a": target("a", "string", dict(zip("uvwxy", [0.3, 0.1, 0.2, 0.2, 0.1])) | {"gone": 0.1}), "b": target("b", "int", {b: 0.2 for b in range(5)}), "c": target("c", "string", {"p": 0.7, "q": 0.3})}
+    plans = []
+
+    def cut(df, plain=mixing.cut):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df)
+
+    monkeypatch.setattr(mixing, "cut", cut)
+    found = {}
+    for most in (mixing.CELLS, 0):
+        monkeypatch.setattr(mixing, "CELLS", most)
+        for cap in (None, 3.0):
+            found[most, cap] = {r[:3]: r.weight for r in mixing.rake(cells, goals, cap).collect()}
+            assert len(found[most, cap]) == len(rows) and all((w > 0) == (a not in ("z", None)) for (a, _, _), w in found[most, cap].items())
+        if most:
+            queries.mixed(common.table(spark, DATA, "documents"))
+    arrays, windows = [[found[most, cap] for cap in (None, 3.0)] for most in (1 << 18, 0)]
+    assert all(x == pytest.approx(y, rel=1e-9) for x, y in zip(arrays, windows)) and arrays[0] != pytest.approx(arrays[1], rel=1e-3)
+    nodes = [len(re.findall(r"Window \[|Join |Aggregate ", p)) for p in plans]
+    assert len(plans) > 10 and max(nodes) <= 15, nodes
+    # Nothing to rake to: no weight, by either way.
+    for most in (1 << 18, 0):
+        monkeypatch.setattr(mixing, "CELLS", most)
+        assert {r.weight for r in mixing.rake(cells, goals | {"c": target("c", "string", {"gone": 1.0})}).collect()} == {0.0}
+
+
 # personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
