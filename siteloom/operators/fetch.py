@@ -171,7 +171,7 @@ def fetched(rows: DataFrame, clients: list[Client], wait: Callable[[float], None
 
 
 def stored(rows: DataFrame, bodies: DataFrame) -> DataFrame:
-    """rows with `body` and page_id from a table (url_hash, page_id, html), one row a key; others have failed."""
+    """rows with `body` and page_id from a table (url_hash, page_id, html), one for each page of the key; others have failed."""
     found = rows.join(bodies.select("url_hash", "page_id", "html"), "url_hash", "left")
     return found.withColumn("body", F.coalesce("html", F.lit(FAILED))).drop("html")
 

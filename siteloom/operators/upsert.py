@@ -8,19 +8,21 @@ from pyspark.sql import functions as F
 from ..schemas import RESULT_COLUMNS, STAGED_COLUMNS
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], updates: dict[str, Column], inserts: dict[str, Column] | None = None) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], updates: dict[str, Column], inserts: dict[str, Column] | None = None, several: bool = False) -> DataFrame:
     """target after a merge of source; in the expressions `t.` is a target row before it and `s.` a source row.
 
     Without inserts unmatched source rows are left out. Null keys match nothing. A target row that several source
-    rows match is an error, raised when the rows are read. Source rows are counted where the join brings them anyway.
+    rows match is an error, raised when the rows are read; with several it comes once for each of them instead.
+    Source rows are counted where the join brings them anyway.
     """
-    s = source.withColumn("_s", F.count(F.lit(1)).over(Window.partitionBy(*keys))).alias("s")
+    s = source.withColumn("_s", F.lit(1) if several else F.count(F.lit(1)).over(Window.partitionBy(*keys))).alias("s")
     t = target.withColumn("_t", F.lit(True)).alias("t")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     joined = t.join(s, on, "full_outer" if inserts else "left")
     both = F.col("_t").isNotNull() & F.col("_s").isNotNull()
-    repeated = F.raise_error(F.lit(f"several source rows match a target row by {', '.join(keys)}")).cast("boolean")
-    joined = joined.where(F.when(both & (F.col("_s") > 1), repeated).otherwise(F.lit(True)))
+    if not several:
+        repeated = F.raise_error(F.lit(f"several source rows match a target row by {', '.join(keys)}")).cast("boolean")
+        joined = joined.where(F.when(both & (F.col("_s") > 1), repeated).otherwise(F.lit(True)))
     def value(c: str) -> Column:
         kept = F.when(both, updates[c]).otherwise(F.col(f"t.{c}")) if c in updates else F.col(f"t.{c}")
         return F.when(F.col("_t").isNull(), inserts.get(c, F.lit(None))).otherwise(kept) if inserts else kept
@@ -45,8 +47,9 @@ def stage(staged: DataFrame, candidates: DataFrame) -> DataFrame:
     return upsert(staged, candidates, ["run_id", "url_hash"], {"access_hits": F.col("s.access_hits")}, {c: F.col(f"s.{c}") for c in STAGED_COLUMNS})
 
 
-def attach_text(staged: DataFrame, texts: DataFrame) -> DataFrame:
-    return upsert(staged, texts, ["batch_id", "url_hash"], {"page_text": F.col("s.page_text")})
+def attach_text(staged: DataFrame, texts: DataFrame, several: bool = False) -> DataFrame:
+    """Sets the text of staged rows; with several, an address that has more than one gives a row for each."""
+    return upsert(staged, texts, ["batch_id", "url_hash"], {"page_text": F.col("s.page_text")}, several=several)
 
 
 def loadable(rows: DataFrame) -> DataFrame:
