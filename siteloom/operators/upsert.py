@@ -57,14 +57,17 @@ def loadable(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("content_topic").isNotNull() & F.col("prediction_confidence").isNotNull() & ~F.isnan("prediction_confidence"))
 
 
-def best_confidence(results: DataFrame, rows: DataFrame, now: Column) -> DataFrame:
-    """Keeps the answer of higher confidence by key; a tie keeps what is there, new keys come in."""
+def best_confidence(results: DataFrame, rows: DataFrame, now: Column, several: bool = False) -> DataFrame:
+    """Keeps the answer of higher confidence by key; a tie keeps what is there, new keys come in.
+
+    With several, each answer for a key that is there gives a row of its own.
+    """
     better = F.col("s.prediction_confidence") > F.col("t.prediction_confidence")
     pick = lambda c: F.when(better, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
     updates = {c: pick(c) for c in ("content_topic", "review_flag", "nlp_raw_categories", "business_category")}
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     updates |= {"prediction_confidence": F.greatest(zero("t.prediction_confidence"), zero("s.prediction_confidence")), "last_accessed": now}
-    return upsert(results, loadable(rows), ["url_hash"], updates, {c: F.col(f"s.{c}") for c in RESULT_COLUMNS} | {"last_accessed": now})
+    return upsert(results, loadable(rows), ["url_hash"], updates, {c: F.col(f"s.{c}") for c in RESULT_COLUMNS} | {"last_accessed": now}, several)
 
 
 def reconcile(results: DataFrame, hits: DataFrame, now: Column) -> DataFrame:
