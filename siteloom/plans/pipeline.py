@@ -20,7 +20,10 @@ BACK, ZONE = 10, "US/Central"
 
 @dataclass(frozen=True)
 class Config:
-    """start and end of the window, the run's name and time, batch size and cap, and whether views are reconciled."""
+    """start and end of the window, the run's name and time, batch size and cap, and whether views are reconciled.
+
+    With several, an address may have several bodies, and each one's answer gives a row; else that is an error.
+    """
 
     start: str | None
     end: str | None = None
@@ -29,6 +32,7 @@ class Config:
     batch_size: int = 1000
     batch_cap: int = 900
     skip_reconcile: bool = False
+    several: bool = False
 
 
 def new_run_id(now: datetime.datetime, token: str | None = None) -> str:
@@ -72,7 +76,7 @@ def run(log: DataFrame, results: DataFrame, bodies: Callable[[DataFrame], DataFr
     size, _ = batching.plan(fresh.count(), config.batch_size, config.batch_cap)
     texts = written(fetch.with_text(bodies(batching.assign(fresh, size, config.run_id))), f"{own}/texts")
     rows = written(classify.classified(categories(texts), at(config)), f"{own}/classified")
-    loaded = upsert.best_confidence(touched, rows, at(config))
+    loaded = upsert.best_confidence(touched, rows, at(config), config.several)
     if config.skip_reconcile:
         return loaded
     return upsert.reconcile(loaded, impressions.lifetime_hits(log, upsert.loadable(rows)), at(config))
