@@ -37,12 +37,14 @@ def is_html(body: Column) -> Column:
     return F.coalesce(start.rlike("|".join(HTML_MARKS)), F.lit(False))
 
 
-def unescaped(text: Column) -> Column:
+def unescaped(text: Column, closed: bool = False) -> Column:
     """text with its character references replaced: named ones, decimal and hexadecimal numbers.
 
-    Names are those of the standard library's table; without a semicolon only the old ones count.
+    Names are those of the standard library's table; without a semicolon only the old ones count. With closed,
+    neither names nor numbers count without one.
     """
     names = F.from_json(F.lit(json.dumps(html.entities.html5)), "map<string,string>")
+    end = ";" if closed else ";?"
     # Numbers that stand for the signs of an old code page.
     odd = F.create_map(*(x for n in range(128, 160) if (sign := bytes([n]).decode("cp1252", "ignore")) for x in (F.lit(n), F.lit(sign))))
 
@@ -52,7 +54,7 @@ def unescaped(text: Column) -> Column:
         return F.coalesce(F.try_element_at(odd, number.cast("int")), code)
 
     def piece(x: Column) -> Column:
-        name = F.regexp_extract(x, r"^(#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;?)", 1)
+        name = F.regexp_extract(x, f"^(#[0-9]+{end}|#[xX][0-9A-Fa-f]+{end}|[A-Za-z][A-Za-z0-9]*{end})", 1)
         digits = F.regexp_extract(name, r"^#([0-9]+)", 1).try_cast("bigint")
         hexadecimal = F.regexp_extract(name, r"^#[xX]0*([0-9A-Fa-f]{1,8});?$", 1)
         number = F.when(name.rlike("^#[xX]"), F.conv(F.nullif(hexadecimal, F.lit("")), 16, 10).try_cast("bigint")).otherwise(digits)
@@ -64,10 +66,13 @@ def unescaped(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
 
 
-def visible_text(body: Column) -> Column:
-    """Text nodes outside script, style and noscript, stripped and joined by a space; empty for what isn't HTML."""
+def visible_text(body: Column, closed: bool = False) -> Column:
+    """Text nodes outside script, style and noscript, stripped and joined by a space; empty for what isn't HTML.
+
+    closed as in unescaped: False is what an HTML parser does, True what the catalog's SQL says.
+    """
     nodes = F.split(F.regexp_replace(F.regexp_replace(body, UNSEEN, BREAK), TAG, BREAK), BREAK)
-    text = F.array_join(F.filter(F.transform(nodes, lambda x: F.regexp_replace(unescaped(x), f"^{SPACE}+|{SPACE}+$", "")), lambda x: x != ""), " ")
+    text = F.array_join(F.filter(F.transform(nodes, lambda x: F.regexp_replace(unescaped(x, closed), f"^{SPACE}+|{SPACE}+$", "")), lambda x: x != ""), " ")
     return F.when(is_html(body) & ~body.startswith("[ERROR"), text).otherwise("")
 
 
