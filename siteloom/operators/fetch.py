@@ -176,5 +176,5 @@ def stored(rows: DataFrame, bodies: DataFrame) -> DataFrame:
     return found.withColumn("body", F.coalesce("html", F.lit(FAILED))).drop("html")
 
 
-def with_text(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("page_text", pages.visible_text(F.col("body"))).drop("body")
+def with_text(rows: DataFrame, closed: bool = False) -> DataFrame:
+    return rows.withColumn("page_text", pages.visible_text(F.col("body"), closed)).drop("body")

@@ -23,6 +23,7 @@ class Config:
     """start and end of the window, the run's name and time, batch size and cap, and whether views are reconciled.
 
     With several, an address may have several bodies, and each one's answer gives a row; else that is an error.
+    With closed_references, character references count in texts with their semicolon only.
     """
 
     start: str | None
@@ -33,6 +34,7 @@ class Config:
     batch_cap: int = 900
     skip_reconcile: bool = False
     several: bool = False
+    closed_references: bool = False
 
 
 def new_run_id(now: datetime.datetime, token: str | None = None) -> str:
@@ -74,7 +76,7 @@ def run(log: DataFrame, results: DataFrame, bodies: Callable[[DataFrame], DataFr
     fresh = written(fresh, f"{own}/fresh")
     touched = upsert.touch(results, touches, at(config))
     size, _ = batching.plan(fresh.count(), config.batch_size, config.batch_cap)
-    texts = written(fetch.with_text(bodies(batching.assign(fresh, size, config.run_id))), f"{own}/texts")
+    texts = written(fetch.with_text(bodies(batching.assign(fresh, size, config.run_id)), config.closed_references), f"{own}/texts")
     rows = written(classify.classified(categories(texts), at(config)), f"{own}/classified")
     loaded = upsert.best_confidence(touched, rows, at(config), config.several)
     if config.skip_reconcile:

@@ -24,7 +24,7 @@ def folder(tmp_path_factory):
     return str(made)
 
 
-@pytest.mark.parametrize("name", ["visible_text"])
+@pytest.mark.parametrize("name", ["batch_scan_text", "visible_text"])
 def test_same_rows(spark, folder, name):
     df = catalog.QUERIES[name](spark, folder)
     con = duckdb.connect()
